@@ -1,0 +1,30 @@
+"""The update job: a newly published release into the unified table."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+from almoner.operators import derive, harmonize, unify
+
+
+def prepare_release(raw: DataFrame) -> DataFrame:
+    """Harmonized release under unified names, one row per organization."""
+    named = raw.transform(harmonize.harmonize).transform(harmonize.to_unified_names)
+    keyed = unify.with_ein2(named)
+    return derive.with_nteev2(keyed) if "NTEE_IRS" in keyed.columns else keyed
+
+
+def update_unified(
+    existing: DataFrame,
+    release: DataFrame,
+    filings: DataFrame | None = None,
+    blocks: DataFrame | None = None,
+) -> DataFrame:
+    """Lay a prepared release over the unified table, then refresh financials
+    from e-filed returns and geography from the block crosswalk if given."""
+    out = unify.upsert(existing, release)
+    if filings is not None:
+        out = unify.recent_financials(out, filings)
+    if blocks is not None:
+        out = unify.append_fips(out, blocks)
+    return out
