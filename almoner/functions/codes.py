@@ -69,11 +69,25 @@ def filing_code(code: Column, pf_code: Column) -> Column:
     return F.when(pf_code.isin(1, 2, 3), F.lit("PF")).otherwise(pad_code(strip_filing_code(code)))
 
 
+def _sql(value) -> str:
+    if isinstance(value, list):
+        return f"array({', '.join(map(_sql, value))})"
+    if value is None:
+        return "cast(NULL AS string)"
+    if isinstance(value, str):
+        return "'" + value.replace("'", "\\'") + "'"
+    return f"{value!r}D" if isinstance(value, float) else str(value)
+
+
+def literal_map(pairs: list[tuple]) -> Column:
+    """Constant map column. It folds to one literal, and a lookup in it stays a
+    small loop in generated code, where a CASE of the same size outgrows what
+    the JIT compiles."""
+    return F.expr(f"map({', '.join(_sql(v) for pair in pairs for v in pair)})")
+
+
 def _lookup(pairs: list[tuple], key: Column) -> Column:
-    """Constant-map lookup. A map folds to one literal and stays a small loop in
-    generated code, where a CASE of the same size outgrows what the JIT compiles."""
-    flat = [F.lit(v) for pair in pairs for v in pair]
-    return F.try_element_at(F.create_map(*flat), key)
+    return F.try_element_at(literal_map(pairs), key)
 
 
 def lookup_text(mapping: dict[str, str], key: Column, default: str | None = None) -> Column:
@@ -126,14 +140,23 @@ def purpose_keys(subsection: Column, classification: Column) -> Column:
     return F.when(subsection.isNotNull(), keys)
 
 
+def _purpose_labels(subsection: Column) -> Column:
+    """Array of the labels of one subsection, indexed by classification digit."""
+    by_subsection: dict[int, list] = {}
+    for code, label in dictionaries.code_labels("BMF_TAX_EXEMPT_PURP"):
+        number, digit = code.split("-")
+        by_subsection.setdefault(int(number), [None] * 10)[int(digit)] = label
+    return _lookup(list(by_subsection.items()), subsection.try_cast("int"))
+
+
 def tax_exempt_purpose(subsection: Column, classification: Column) -> Column:
-    """Labels of all purposes, in key order, joined by `` ;; ``.
+    """Labels of all purposes, in digit order, joined by `` ;; ``.
 
     Every digit of the classification is one purpose; a repeated digit repeats
     its label. NULL if either code is NULL, empty text if no digit is known.
     """
-    pairs = dictionaries.code_labels("BMF_TAX_EXEMPT_PURP")
+    digits = F.sort_array(F.split(classification.cast("string"), ""))
     labels = F.transform(
-        purpose_keys(subsection, classification), lambda key: _lookup(pairs, key)
+        digits, lambda d: F.get(_purpose_labels(subsection), d.try_cast("int"))
     )
-    return F.array_join(labels, " ;; ")
+    return F.when(subsection.isNotNull(), F.array_join(labels, " ;; "))

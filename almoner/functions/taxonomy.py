@@ -41,55 +41,68 @@ ORG_TYPES = {
 }
 REGULAR = "RG"
 
-# a letter, two digits, and for specialty organizations two more
-CODE_PATTERN = "^([A-Z])([0-9]{2})([0-9]{2})?"
+# a letter and two digits; specialty organizations may have two more
+CODE_PATTERN = "^[A-Z][0-9]{2}"
+DETAIL_PATTERN = "^[A-Z][0-9]{4}"
 
 # --- end of fixed values --------------------------------------------------------
 
 
-def _part(code: Column, group: int) -> Column:
-    return F.regexp_extract(code, CODE_PATTERN, group)
-
-
 def _valid(code: Column, value: Column) -> Column:
     return F.when(code.rlike(CODE_PATTERN), value)
 
 
+def _number(code: Column) -> Column:
+    return F.substring(code, 2, 2)
+
+
+def _division(code: Column) -> Column:
+    specialty = _number(code).between("01", "19")
+    digits = (
+        F.when(specialty & code.rlike(DETAIL_PATTERN), F.substring(code, 4, 2))
+        .when(specialty, F.lit("00"))
+        .otherwise(_number(code))
+    )
+    return F.concat(major_group(code), digits)
+
+
+def _industry(code: Column) -> Column:
+    by_division = {d: group for group, ds in INDUSTRY_DIVISIONS.items() for d in ds}
+    by_letter = {c: group for group, letters in INDUSTRY_LETTERS.items() for c in letters}
+    return F.coalesce(
+        lookup_text(by_division, _division(code)), lookup_text(by_letter, major_group(code))
+    )
+
+
+def _org_type(code: Column) -> Column:
+    return lookup_text(ORG_TYPES, _number(code), REGULAR)
+
+
 def major_group(code: Column) -> Column:
     """First letter of a mission code."""
     return F.substring(code, 1, 1)
 
 
 def org_type(code: Column) -> Column:
-    return _valid(code, lookup_text(ORG_TYPES, _part(code, 2), REGULAR))
+    """Kind of organization: the meaning of codes x01-x19, else regular."""
+    return _valid(code, _org_type(code))
 
 
 def division(code: Column) -> Column:
     """Letter + two digits. Specialty codes x01-x19 give x00, or the division
     named by two further digits (B0129 -> B29)."""
-    number, detail = _part(code, 2), _part(code, 3)
-    specialty = number.between("01", "19")
-    digits = (
-        F.when(specialty & (detail != ""), detail)
-        .when(specialty, F.lit("00"))
-        .otherwise(number)
-    )
-    return _valid(code, F.concat(_part(code, 1), digits))
+    return _valid(code, _division(code))
 
 
 def industry(code: Column) -> Column:
     """Industry group, decided by the division first and the letter second."""
-    by_division = {d: group for group, ds in INDUSTRY_DIVISIONS.items() for d in ds}
-    by_letter = {c: group for group, letters in INDUSTRY_LETTERS.items() for c in letters}
-    return F.coalesce(
-        lookup_text(by_division, division(code)),
-        _valid(code, lookup_text(by_letter, major_group(code))),
-    )
+    return _valid(code, _industry(code))
 
 
 def nteev2(code: Column) -> Column:
     """``INDUSTRY-DIVISION-TYPE``; NULL for anything that is not a mission code."""
-    return F.concat(industry(code), F.lit("-"), division(code), F.lit("-"), org_type(code))
+    parts = F.concat(_industry(code), F.lit("-"), _division(code), F.lit("-"), _org_type(code))
+    return _valid(code, parts)
 
 
 def ntee_level(v2: Column, level: int) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from almoner.functions.codes import literal_map
 from almoner.functions.geography import cbsa_class
 from almoner.operators.joins import lookup_join
 
@@ -66,8 +67,8 @@ def widen(panel: DataFrame, years: list[int]) -> DataFrame:
 def adjust_inflation(panel: DataFrame, factors: dict[int, float], columns: list[str]) -> DataFrame:
     """Dollar columns in the reference year's dollars. One factor per year; a
     year without a factor gives NULL rather than an unadjusted amount."""
-    flat = [F.lit(v) for pair in factors.items() for v in pair]
-    factor = F.try_element_at(F.create_map(*flat), F.col("year"))
+    pairs = [(year, float(factor)) for year, factor in factors.items()]
+    factor = F.try_element_at(literal_map(pairs), F.col("year"))
     return panel.withColumns({c: F.col(c) * factor for c in columns})
 
 

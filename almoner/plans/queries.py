@@ -14,7 +14,7 @@ from almoner.functions import codes, taxonomy
 from almoner.operators import address, census, derive, harmonize, reports, unify
 from almoner.plans import fixtures as fx
 from almoner.plans.labelling import label_registry, labelling_input
-from almoner.session import scratch_path
+from almoner.session import scratch_path, tune
 from almoner.sources import manifest, readers, writers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,7 +24,7 @@ QUERIES: dict[str, Query] = {}
 
 def query(name: str) -> Callable[[Query], Query]:
     def register(function: Query) -> Query:
-        QUERIES[name] = function
+        QUERIES[name] = lambda spark, folder: function(tune(spark), folder)
         return function
 
     return register
@@ -470,7 +470,7 @@ def _label_query(variable: str) -> Query:
 
 
 for _name, _variable in LABEL_QUERIES.items():
-    QUERIES[_name] = _label_query(_variable)
+    query(_name)(_label_query(_variable))
 
 
 @query("tax_exempt_purpose")

@@ -34,6 +34,13 @@ def build_session(
     return builder.getOrCreate()
 
 
+def tune(spark: SparkSession) -> SparkSession:
+    """Give a session made elsewhere the one setting wide projections depend on."""
+    key = "spark.sql.codegen.hugeMethodLimit"
+    spark.conf.set(key, SETTINGS[key])
+    return spark
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path for written tables, below the cluster's shared folder.
 

@@ -88,20 +88,32 @@ def ingest(spark: SparkSession, files: dict[str, str]) -> Ingested:
 
 
 def read_checked(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """CSV with a schema; a record that does not fit keeps its raw text in
-    ``_corrupt_record`` instead of failing the job. Whole records are parsed even
-    when a query needs few columns, or errors in the others would go unnoticed."""
-    extended = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    return spark.read.schema(extended).csv(
-        path,
-        header=True,
-        mode="PERMISSIVE",
-        columnNameOfCorruptRecord=CORRUPT,
-        columnPruning=False,
-        escape='"',
+    """CSV with a schema that never fails a job: ``_problem`` names the first
+    column whose text does not fit its type, or says ``structure`` when the
+    number of fields is wrong; ``_record`` keeps such a record as text.
+
+    Columns are read as text and cast here. The reader's own check looks only at
+    the columns a query happens to use, and would miss errors in the others.
+    """
+    fields = [T.StructField(f.name, T.StringType()) for f in schema]
+    raw = (
+        spark.read.schema(T.StructType([*fields, T.StructField(CORRUPT, T.StringType())]))
+        .option("columnPruning", False)
+        .csv(path, header=True, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT, escape='"')
+    )
+    typed = {f.name: F.col(f.name).try_cast(f.dataType) for f in schema}
+    problem = F.when(F.col(CORRUPT).isNotNull(), F.lit("structure"))
+    for name, value in typed.items():
+        problem = problem.when(F.col(name).isNotNull() & value.isNull(), F.lit(name))
+    record = F.coalesce(CORRUPT, F.to_csv(F.struct(*typed)))
+    return raw.select(
+        *[value.alias(name) for name, value in typed.items()],
+        problem.alias("_problem"),
+        F.when(problem.isNotNull(), record).alias("_record"),
     )
 
 
 def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(good records, bad records) of a checked read."""
-    return df.where(F.col(CORRUPT).isNull()).drop(CORRUPT), df.where(F.col(CORRUPT).isNotNull())
+    good = F.col("_problem").isNull()
+    return df.where(good).drop("_problem", "_record"), df.where(~good)
