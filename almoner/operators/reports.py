@@ -46,31 +46,45 @@ def frequencies(df: DataFrame, columns: list[str]) -> DataFrame:
     )
 
 
-def level_frequency(df: DataFrame, variable: str, column: str | None = None) -> DataFrame:
-    """Counts per dictionary level of a labelled column: level order, levels
-    nobody uses kept with 0, and a last row for NULL if there is one."""
-    spark = df.sparkSession
-    levels = [
-        (label,) for _, label in dictionaries.code_labels(variable) if label is not None
+def level_frequencies(df: DataFrame, variables: dict[str, bool]) -> DataFrame:
+    """Counts per dictionary level of several labelled columns in one pass, with
+    a row for NULL if there is one. A variable mapped to True keeps the levels
+    nobody uses, with 0. Columns: variable, ord, label, n."""
+    one, none = F.lit(1).cast("long").alias("n"), F.lit(0).cast("long").alias("n")
+    observed = (
+        df.select(*variables)
+        .unpivot([], list(variables), "variable", "label")
+        .select("variable", "label", one)
+    )
+    unused = [
+        (variable, label)
+        for variable, keep in variables.items()
+        for _, label in dictionaries.code_labels(variable)
+        if keep and label is not None
     ]
-    observed = df.select(F.col(column or variable).alias("label"), F.lit(1).cast("long").alias("n"))
-    unused = literal_frame(spark, levels, "label string").select("label", F.lit(0).cast("long").alias("n"))
+    if unused:
+        levels = literal_frame(df.sparkSession, unused, "variable string, label string")
+        observed = observed.unionByName(levels.select("variable", "label", none))
+    order = F.lit(None).cast("int")
+    for variable in variables:
+        order = F.when(F.col("variable") == variable, label_order(variable, F.col("label"))).otherwise(order)
     return (
-        observed.unionByName(unused)
-        .groupBy("label")
+        observed.groupBy("variable", "label")
         .agg(F.sum("n").alias("n"))
-        .select(label_order(variable, F.col("label")).alias("ord"), "label", "n")
-        .orderBy(F.asc_nulls_last("ord"))
+        .select("variable", order.alias("ord"), "label", "n")
+        .orderBy("variable", F.asc_nulls_last("ord"))
     )
 
 
-def used_level_frequency(df: DataFrame, variable: str, column: str | None = None) -> DataFrame:
+def level_frequency(df: DataFrame, variable: str) -> DataFrame:
+    """Counts per dictionary level of a labelled column: level order, levels
+    nobody uses kept with 0, and a last row for NULL if there is one."""
+    return level_frequencies(df, {variable: True}).drop("variable")
+
+
+def used_level_frequency(df: DataFrame, variable: str) -> DataFrame:
     """Counts per used level of a labelled column, in level order."""
-    return (
-        counts(df, column or variable)
-        .select(label_order(variable, F.col("value")).alias("ord"), F.col("value").alias("label"), "n")
-        .orderBy(F.asc_nulls_last("ord"))
-    )
+    return level_frequencies(df, {variable: False}).drop("variable")
 
 
 def alphabetical_frequency(df: DataFrame, column: str) -> DataFrame:
@@ -167,30 +181,41 @@ def subtype_counts(df: DataFrame, column: str = "ORG_TYPE_501C", weight: str | N
     )
 
 
+def hierarchy(subtypes: DataFrame) -> DataFrame:
+    """Edges and vertices of the group -> type hierarchy, told apart by ``kind``.
+
+    Edges lead from ``source`` to ``name``. Vertices are the types, sized by the
+    root of their count, and the groups, without a size. Each type contributes
+    its rows where it is, so the counts are made once.
+    """
+    def row(kind: str, source: Column, name: str, size: Column, kind_of: Column) -> Column:
+        return F.struct(
+            F.lit(kind).alias("kind"), source.alias("source"), F.col(name).alias("name"),
+            size.alias("size"), kind_of.alias("type"),
+        )
+
+    group, text, number = F.col("exempt_subtype"), F.lit(None).cast("string"), F.lit(None).cast("double")
+    rows = F.array(
+        row("edge", group, "type_501c", number, text),
+        row("vertex", text, "type_501c", F.sqrt("n"), group),
+        row("vertex", text, "exempt_subtype", F.lit(0.0), F.concat(group, F.lit("_X"))),
+    )
+    return subtypes.select(F.explode(rows).alias("row")).select("row.*").distinct()
+
+
 def hierarchy_edges(subtypes: DataFrame) -> DataFrame:
-    return subtypes.select(F.col("exempt_subtype").alias("source"), F.col("type_501c").alias("target"))
+    return hierarchy(subtypes).where(F.col("kind") == "edge").select("source", F.col("name").alias("target"))
 
 
 def hierarchy_vertices(subtypes: DataFrame) -> DataFrame:
-    """Leaves sized by the root of their count, and one unsized vertex per group."""
-    leaves = subtypes.select(
-        F.col("type_501c").alias("name"),
-        F.sqrt("n").alias("size"),
-        F.col("exempt_subtype").alias("type"),
-    )
-    groups = subtypes.select(
-        F.col("exempt_subtype").alias("name"),
-        F.lit(0.0).alias("size"),
-        F.concat("exempt_subtype", F.lit("_X")).alias("type"),
-    ).distinct()
-    return leaves.unionByName(groups)
+    return hierarchy(subtypes).where(F.col("kind") == "vertex").select("name", "size", "type")
 
 
-def treemap(df: DataFrame, variable: str, column: str | None = None) -> DataFrame:
+def treemap(df: DataFrame, variable: str) -> DataFrame:
     """Counts per level with the colour slot (rank by count) and the running id
     (level order). Windows run over the levels of one dictionary, never over
     organizations."""
-    levels = level_frequency(df, variable, column).where(F.col("label").isNotNull())
+    levels = level_frequency(df, variable).where(F.col("label").isNotNull())
     by_count = Window.orderBy(F.desc("n"), F.asc("ord"))
     by_level = Window.orderBy("ord")
     return levels.select(

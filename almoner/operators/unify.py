@@ -50,9 +50,10 @@ def year_span(df: DataFrame, key: str = "EIN", year: str = "YEAR") -> DataFrame:
 
 def activity_status(df: DataFrame, key: str = "EIN", vintage: str = "VINTAGE") -> DataFrame:
     """Active organizations are those in the newest release. One aggregate per
-    organization against a scalar; no join with the newest release is needed."""
-    newest = df.agg(F.max(vintage).alias("newest")).scalar()
+    organization against a scalar taken from the same aggregate; no join with the
+    newest release, and no second scan."""
     last = df.groupBy(key).agg(F.max(vintage).alias("LAST_VINTAGE"))
+    newest = last.agg(F.max("LAST_VINTAGE").alias("newest")).scalar()
     return last.withColumn(
         "STATUS", F.when(F.col("LAST_VINTAGE") == newest, "ACTIVE").otherwise("INACTIVE")
     )

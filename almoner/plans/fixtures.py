@@ -43,104 +43,91 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def pick(values: list, index: Column) -> Column:
-    """Element ``index mod len(values)``, counting from 0."""
-    array = F.array(*[F.lit(v) for v in values])
-    return F.element_at(array, (index % len(values)).cast("int") + 1)
+def _literal(value) -> str:
+    return "NULL" if value is None else repr(value)
 
 
-def _div(k: Column, n: int) -> Column:
-    return ((k - k % n) / n).cast("long")
+def pick(values: list, index: str) -> str:
+    """SQL for element ``index mod len(values)``, counting from 0."""
+    array = f"array({', '.join(map(_literal, values))})"
+    return f"element_at({array}, cast(({index}) % {len(values)} AS int) + 1)"
 
 
-def _digits(value: Column, width: int) -> Column:
-    return F.lpad(value.cast("string"), width, "0")
+def _digits(value: str, width: int) -> str:
+    return f"lpad(cast({value} AS string), {width}, '0')"
 
 
-def registry_rows(df: DataFrame, k: Column, name: Column, second_name: Column, area: Column) -> DataFrame:
-    """The unified table before labelling: one organization per row, keyed by ``k``."""
-    first_year = (1989 + k % 20).cast("int")
-    known_span = k % 23 != 0
+def registry_rows(df: DataFrame, k: str, name: str, second_name: str, area: str) -> DataFrame:
+    """The unified table before labelling: one organization per row. The
+    arguments are SQL; ``k`` is the number the codes are derived from."""
+    half, third = f"({k}) div 2", f"({k}) div 3"
+    known_span = f"{k} % 23 <> 0"
+    block = ", ".join(
+        [_digits(f"{k} % 50 + 1", 2), _digits(f"{k} % 199", 3), _digits(f"{k} % 9999", 6), _digits(f"{k} % 4000", 4)]
+    )
     columns = {
-        "EIN": (k + 10000001).cast("string"),
+        "EIN": f"{k} + 10000001",
         "ORG_NAME_CURRENT": name,
         "ORG_NAME_SEC": second_name,
         "ORG_PERS_ICO": pick(IN_CARE_OF, k),
-        "ORG_FISCAL_PERIOD": k % 13,
-        "BMF_ORGANIZATION_CODE": k % 8,
-        "ORG_RULING_DATE": F.concat((1950 + k % 70).cast("string"), _digits(k % 12 + 1, 2)),
-        "ORG_RULING_YEAR": F.when(k % 17 != 0, 1950 + k % 70),
-        "ORG_YEAR_FIRST": F.when(known_span, first_year),
-        "ORG_YEAR_LAST": F.when(known_span, first_year + _div(k, 3) % 12),
-        "ORG_YEAR_COUNT": F.when(known_span, _div(k, 3) % 12 + 1),
+        "ORG_FISCAL_PERIOD": f"{k} % 13",
+        "BMF_ORGANIZATION_CODE": f"{k} % 8",
+        "ORG_RULING_DATE": f"concat(cast(1950 + {k} % 70 AS string), {_digits(f'{k} % 12 + 1', 2)})",
+        "ORG_RULING_YEAR": f"CASE WHEN {k} % 17 <> 0 THEN 1950 + {k} % 70 END",
+        "ORG_YEAR_FIRST": f"CASE WHEN {known_span} THEN 1989 + {k} % 20 END",
+        "ORG_YEAR_LAST": f"CASE WHEN {known_span} THEN 1989 + {k} % 20 + ({third}) % 12 END",
+        "ORG_YEAR_COUNT": f"CASE WHEN {known_span} THEN ({third}) % 12 + 1 END",
         "NTEE_IRS": pick(NTEE, k),
-        "NTEE_NCCS": pick(NTEE, _div(k, 2)),
+        "NTEE_NCCS": pick(NTEE, half),
         "NCCS_LEVEL_1": pick(LEVEL_1, k),
-        "NCCS_LEVEL_2": pick(LEVEL_2, _div(k, 2)),
-        "NCCS_LEVEL_3": pick(LEVEL_3, _div(k, 3)),
+        "NCCS_LEVEL_2": pick(LEVEL_2, half),
+        "NCCS_LEVEL_3": pick(LEVEL_3, third),
         "BMF_SUBSECTION_CODE": pick(SUBSECTION, k),
-        "BMF_CLASSIFICATION_CODE": pick(CLASSIFICATION, _div(k, 3)),
-        "BMF_DEDUCTIBILITY_CODE": pick(DEDUCTIBILITY, _div(k, 2)),
-        "BMF_FILING_REQ_CODE": pick(FILING_REQ, _div(k, 2)),
-        "BMF_PF_FILING_REQ_CODE": pick(PF_FILING, _div(k, 5)),
-        "BMF_FOUNDATION_CODE": pick(FOUNDATION, _div(k, 3)),
+        "BMF_CLASSIFICATION_CODE": pick(CLASSIFICATION, third),
+        "BMF_DEDUCTIBILITY_CODE": pick(DEDUCTIBILITY, half),
+        "BMF_FILING_REQ_CODE": pick(FILING_REQ, half),
+        "BMF_PF_FILING_REQ_CODE": pick(PF_FILING, f"({k}) div 5"),
+        "BMF_FOUNDATION_CODE": pick(FOUNDATION, third),
         "BMF_STATUS_CODE": pick(STATUS, k),
-        "BMF_AFFILIATION_CODE": pick(AFFILIATION, _div(k, 11)),
-        "BMF_GROUP_EXEMPT_NUM": pick(GROUP_EXEMPT, _div(k, 7)),
-        "BMF_INCOME_CODE": _div(k, 4) % 11,
-        "BMF_ASSET_CODE": k % 11,
-        "ORG_FISCAL_YEAR": 1990 + k % 31,
-        "F990_TOTAL_REVENUE_RECENT": k * 97 % 1000003,
-        "F990_TOTAL_INCOME_RECENT": k * 89 % 999983,
-        "F990_TOTAL_ASSETS_RECENT": F.when(k % 4 != 0, k * 83 % 999979),
-        "F990_ORG_ADDR_STREET": pick(ADDRESS, k + 3),
-        "F990_ORG_ADDR_CITY": F.concat(F.lit("CITY "), (k % 97).cast("string")),
-        "F990_ORG_ADDR_STATE": F.concat(F.lit("S"), _digits(area, 2)),
-        "F990_ORG_ADDR_ZIP": _digits(k % 99999, 5),
+        "BMF_AFFILIATION_CODE": pick(AFFILIATION, f"({k}) div 11"),
+        "BMF_GROUP_EXEMPT_NUM": pick(GROUP_EXEMPT, f"({k}) div 7"),
+        "BMF_INCOME_CODE": f"(({k}) div 4) % 11",
+        "BMF_ASSET_CODE": f"{k} % 11",
+        "ORG_FISCAL_YEAR": f"1990 + {k} % 31",
+        "F990_TOTAL_REVENUE_RECENT": f"{k} * 97 % 1000003",
+        "F990_TOTAL_INCOME_RECENT": f"{k} * 89 % 999983",
+        "F990_TOTAL_ASSETS_RECENT": f"CASE WHEN {k} % 4 <> 0 THEN {k} * 83 % 999979 END",
+        "F990_ORG_ADDR_STREET": pick(ADDRESS, f"{k} + 3"),
+        "F990_ORG_ADDR_CITY": f"concat('CITY ', {k} % 97)",
+        "F990_ORG_ADDR_STATE": f"concat('S', {_digits(area, 2)})",
+        "F990_ORG_ADDR_ZIP": _digits(f"{k} % 99999", 5),
         "CENSUS_URBAN_AREA": pick(URBAN, k),
-        "CENSUS_STATE_ABBR": F.concat(F.lit("S"), _digits(area, 2)),
-        "CENSUS_COUNTY_NAME": F.concat(F.lit("COUNTY "), (k % 31).cast("string")),
-        "CENSUS_CBSA_NAME": F.when(k % 5 != 0, F.concat(F.lit("CBSA "), (k % 19).cast("string"))),
-        "CENSUS_CBSA_FIPS": F.when(k % 5 != 0, (10000 + k % 19).cast("string")),
-        "CENSUS_BLOCK_FIPS": F.when(
-            k % 10 != 9,
-            F.concat(
-                _digits(k % 50 + 1, 2), _digits(k % 199, 3), _digits(k % 9999, 6), _digits(k % 4000, 4)
-            ),
-        ),
+        "CENSUS_STATE_ABBR": f"concat('S', {_digits(area, 2)})",
+        "CENSUS_COUNTY_NAME": f"concat('COUNTY ', {k} % 31)",
+        "CENSUS_CBSA_NAME": f"CASE WHEN {k} % 5 <> 0 THEN concat('CBSA ', {k} % 19) END",
+        "CENSUS_CBSA_FIPS": f"CASE WHEN {k} % 5 <> 0 THEN 10000 + {k} % 19 END",
+        "CENSUS_BLOCK_FIPS": f"CASE WHEN {k} % 10 <> 9 THEN concat({block}) END",
         "ORG_ADDR_FULL": pick(ADDRESS, k),
         "ORG_ADDR_MATCH": pick(MATCHED, k),
-        "LATITUDE": (k % 180 - 90).cast("double"),
-        "LONGITUDE": (k % 360 - 180).cast("double"),
-        "GEOCODER_SCORE": (k % 101).cast("double"),
+        "LATITUDE": f"{k} % 180 - 90",
+        "LONGITUDE": f"{k} % 360 - 180",
+        "GEOCODER_SCORE": f"{k} % 101",
         "GEOCODER_MATCH": pick(MATCH_TYPE, k),
     }
-    types = {f.name: f.dataType for f in UNIFIED_SCHEMA}
-    return df.select(*[value.cast(types[c]).alias(c) for c, value in columns.items()])
+    types = {f.name: f.dataType.simpleString() for f in UNIFIED_SCHEMA}
+    return df.selectExpr(*[f"cast({sql} AS {types[c]}) AS {c}" for c, sql in columns.items()])
 
 
 def registry(spark: SparkSession, folder: str) -> DataFrame:
     """One organization per customer."""
     customer = table(spark, folder, "customer")
-    return registry_rows(
-        customer,
-        F.col("c_custkey"),
-        F.col("c_name"),
-        F.col("c_mktsegment"),
-        F.col("c_nationkey"),
-    )
+    return registry_rows(customer, "c_custkey", "c_name", "c_mktsegment", "c_nationkey")
 
 
 def large_registry(spark: SparkSession, folder: str) -> DataFrame:
     """One organization per order, for timing."""
     orders = table(spark, folder, "orders")
-    return registry_rows(
-        orders,
-        F.col("o_orderkey"),
-        F.col("o_orderstatus"),
-        F.col("o_orderpriority"),
-        F.col("o_custkey") % 25,
-    )
+    return registry_rows(orders, "o_orderkey", "o_orderstatus", "o_orderpriority", "o_custkey % 25")
 
 
 # years before this one use the older column names
@@ -153,39 +140,34 @@ def vintages(spark: SparkSession, folder: str) -> dict[int, DataFrame]:
     The older layout carries the group number in two columns, of which only one
     is filled, and both layouts carry a column the crosswalk does not know.
     """
-    orders = table(spark, folder, "orders").select(
-        F.col("o_custkey").alias("k"),
-        F.year("o_orderdate").alias("VINTAGE"),
-        F.col("o_totalprice").cast("string").alias("amount"),
-        F.col("o_orderkey").alias("id"),
-        F.col("o_orderstatus"),
-        F.col("o_orderdate"),
-    )
-    ein = (F.col("k") + 10000001).cast("string").alias("EIN")
-    subsection = pick(SUBSECTION, F.col("k") + F.col("id")).cast("string")
-    ntee = pick(NTEE, F.col("k") + F.col("VINTAGE"))
-    group = _digits(F.col("id") % 10000, 4)
-    first = F.to_timestamp(F.lit(f"{NEW_LAYOUT_FROM}-01-01"))
-    old = orders.where(F.col("o_orderdate") < first).select(
-        ein,
-        "VINTAGE",
-        F.col("id").cast("string").alias("RANDNUM"),
-        F.col("amount").alias("ASSETS"),
-        ntee.alias("NTEECC"),
-        subsection.alias("SUBSECCD"),
-        F.when(F.col("id") % 2 == 0, group).alias("GEN"),
-        F.when(F.col("id") % 2 == 1, F.concat(F.lit(" "), group)).alias("GROUP"),
-        F.col("o_orderstatus").alias("TAPE_REEL"),
+    orders = table(spark, folder, "orders")
+    year = "year(o_orderdate)"
+    shared = [
+        "cast(o_custkey + 10000001 AS string) AS EIN",
+        f"{year} AS VINTAGE",
+        "cast(o_orderkey AS string) AS RANDNUM",
+    ]
+    amount = "cast(o_totalprice AS string)"
+    ntee = pick(NTEE, f"o_custkey + {year}")
+    subsection = f"cast({pick(SUBSECTION, 'o_custkey + o_orderkey')} AS string)"
+    group = _digits("o_orderkey % 10000", 4)
+    first = f"timestamp'{NEW_LAYOUT_FROM}-01-01'"
+    old = orders.where(f"o_orderdate < {first}").selectExpr(
+        *shared,
+        f"{amount} AS ASSETS",
+        f"{ntee} AS NTEECC",
+        f"{subsection} AS SUBSECCD",
+        f"CASE WHEN o_orderkey % 2 = 0 THEN {group} END AS GEN",
+        f"CASE WHEN o_orderkey % 2 = 1 THEN concat(' ', {group}) END AS GROUP",
+        "o_orderstatus AS TAPE_REEL",
     )
-    new = orders.where(F.col("o_orderdate") >= first).select(
-        ein,
-        "VINTAGE",
-        F.col("id").cast("string").alias("RANDNUM"),
-        F.col("amount").alias("ASSET_AMT"),
-        ntee.alias("NTEE_CD"),
-        subsection.alias("SUBSECTION"),
-        group.alias("GROUP"),
-        F.col("o_orderstatus").alias("BATCH"),
+    new = orders.where(f"o_orderdate >= {first}").selectExpr(
+        *shared,
+        f"{amount} AS ASSET_AMT",
+        f"{ntee} AS NTEE_CD",
+        f"{subsection} AS SUBSECTION",
+        f"{group} AS GROUP",
+        "o_orderstatus AS BATCH",
     )
     return {NEW_LAYOUT_FROM - 1: old, NEW_LAYOUT_FROM: new}
 
@@ -198,7 +180,7 @@ def appearances(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _ein(key: str) -> Column:
-    return _digits(F.col(key) + 10000001, 9).alias("EIN")
+    return F.expr(_digits(f"{key} + 10000001", 9)).alias("EIN")
 
 
 def filings(spark: SparkSession, folder: str) -> DataFrame:
@@ -310,8 +292,7 @@ def statistical_areas(spark: SparkSession, folder: str) -> DataFrame:
 def storage_keys(spark: SparkSession, folder: str) -> DataFrame:
     """Storage listing: one key per document, in three folders, and the entries
     of the folders themselves."""
-    document = table(spark, folder, "documents")
-    folder_name = pick(["raw/bmf/", "legacy/bmf/", "other/"], F.col("doc_id"))
-    ending = pick([".csv", ".dat"], F.col("doc_id"))
-    name = F.when(F.col("doc_id") % 100 > 1, F.concat("source", F.lit("-"), F.col("doc_id").cast("string"), ending))
-    return document.select(F.concat(folder_name, F.coalesce(name, F.lit(""))).alias("key"))
+    folder_name = pick(["raw/bmf/", "legacy/bmf/", "other/"], "doc_id")
+    ending = pick([".csv", ".dat"], "doc_id")
+    name = f"CASE WHEN doc_id % 100 > 1 THEN concat(source, '-', doc_id, {ending}) ELSE '' END"
+    return table(spark, folder, "documents").selectExpr(f"concat({folder_name}, {name}) AS key")

@@ -626,13 +626,13 @@ ORACLE: dict[str, str] = {
               WHERE d.variable = 'BMF_FOUNDATION_CODE' GROUP BY ALL)"""
     ),
     "level_bars": _with(
-        """SELECT 'assets' AS measure, d.ord, l.BMF_ASSET_LEVEL AS label, count(*) AS n FROM labelled l
+        """SELECT 'BMF_ASSET_LEVEL' AS measure, d.ord, l.BMF_ASSET_LEVEL AS label, count(*) AS n FROM labelled l
           LEFT JOIN dictionary d ON d.variable = 'BMF_ASSET_LEVEL' AND d.label = l.BMF_ASSET_LEVEL GROUP BY ALL
         UNION ALL
-        SELECT 'income', d.ord, d.label, count(l.EIN) FROM dictionary d
+        SELECT 'BMF_INCOME_LEVEL', d.ord, d.label, count(l.EIN) FROM dictionary d
           LEFT JOIN labelled l ON l.BMF_INCOME_LEVEL = d.label WHERE d.variable = 'BMF_INCOME_LEVEL' GROUP BY ALL
         UNION ALL
-        SELECT 'income', NULL, NULL, count(*) FROM labelled WHERE BMF_INCOME_LEVEL IS NULL HAVING count(*) > 0"""
+        SELECT 'BMF_INCOME_LEVEL', NULL, NULL, count(*) FROM labelled WHERE BMF_INCOME_LEVEL IS NULL HAVING count(*) > 0"""
     ),
     "codebook_rows": _codebook(
         "BMF_AFFILIATION_CODE", 'd.code, d."role", d.affiliation, d.label, d.description'

@@ -614,16 +614,7 @@ def exempt_subtype_join(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("exempt_hierarchy")
 def exempt_hierarchy(spark: SparkSession, folder: str) -> DataFrame:
-    """Edges and vertices in one table, told apart by ``kind``."""
-    subtypes = reports.subtype_counts(_labelling_input(spark, folder))
-    edges = reports.hierarchy_edges(subtypes).select(
-        F.lit("edge").alias("kind"), "source", F.col("target").alias("name"),
-        F.lit(None).cast("double").alias("size"), F.lit(None).cast("string").alias("type"),
-    )
-    vertices = reports.hierarchy_vertices(subtypes).select(
-        F.lit("vertex").alias("kind"), F.lit(None).cast("string").alias("source"), "name", "size", "type"
-    )
-    return edges.unionByName(vertices)
+    return reports.hierarchy(reports.subtype_counts(_labelling_input(spark, folder)))
 
 
 @query("treemap_prep")
@@ -633,12 +624,10 @@ def treemap_prep(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("level_bars")
 def level_bars(spark: SparkSession, folder: str) -> DataFrame:
-    labelled = _labelled(spark, folder)
-    assets = reports.used_level_frequency(labelled, "BMF_ASSET_LEVEL")
-    income = reports.level_frequency(labelled, "BMF_INCOME_LEVEL")
-    return assets.withColumn("measure", F.lit("assets")).unionByName(
-        income.withColumn("measure", F.lit("income"))
-    )
+    """Used asset levels, and all income levels."""
+    return reports.level_frequencies(
+        _labelled(spark, folder), {"BMF_ASSET_LEVEL": False, "BMF_INCOME_LEVEL": True}
+    ).withColumnRenamed("variable", "measure")
 
 
 @query("codebook_rows")
