@@ -128,10 +128,12 @@ def src_ingest_errors(spark: SparkSession, folder: str) -> DataFrame:
     per_type = records.groupBy("event_type").agg(
         F.count(F.lit(1)).alias("n_records"), F.sum("bad").alias("n_bad")
     )
-    status = derive.literal_frame(spark, log, "filename string, status string, error string")
-    return status.join(
-        per_type.withColumn("filename", F.lit("events.csv")), "filename", "left"
-    ).select("filename", "status", "event_type", "n_records", "n_bad")
+    read = per_type.select(
+        F.lit("events.csv").alias("filename"), F.lit("ok").alias("status"), "event_type", "n_records", "n_bad"
+    )
+    failed = [(name, status) for name, status, _ in log if status != "ok"]
+    skipped = derive.literal_frame(spark, failed, "filename string, status string")
+    return read.unionByName(skipped, allowMissingColumns=True)
 
 
 @query("sink_raw_csv")
