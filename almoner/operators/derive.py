@@ -128,6 +128,13 @@ def dictionary_frame(spark: SparkSession, variables: list[str] | None = None) ->
     )
 
 
+def dd(spark: SparkSession, variable: str) -> DataFrame:
+    """Dictionary of one variable, in level order."""
+    if variable not in dictionaries.VARIABLES:
+        raise ValueError(f"no dictionary for {variable!r}")
+    return dictionary_frame(spark, [variable]).orderBy("ord")
+
+
 def literal_frame(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
     """A literal table as a local relation, so that Spark knows how small it is."""
     import pyarrow as pa

@@ -112,3 +112,10 @@ def append_fips(
 def with_fips_levels(df: DataFrame, block: str = "CENSUS_BLOCK_FIPS") -> DataFrame:
     """State, county, tract and block identifiers from the block identifier."""
     return df.withColumns({f"{level.upper()}_FIPS": fips(F.col(block), level) for level in FIPS_WIDTH})
+
+
+def get_fips(df: DataFrame, level: str = "tract", block_fips: str = "CENSUS_BLOCK_FIPS") -> DataFrame:
+    """One identifier of the given level, cut from the block identifier."""
+    if level not in FIPS_WIDTH:
+        raise ValueError(f"level must be one of {list(FIPS_WIDTH)}, not {level!r}")
+    return df.withColumn(f"{level.upper()}_FIPS", fips(F.col(block_fips), level))

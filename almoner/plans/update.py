@@ -3,15 +3,27 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from almoner.operators import derive, harmonize, unify
 
 
 def prepare_release(raw: DataFrame) -> DataFrame:
-    """Harmonized release under unified names, one row per organization."""
+    """Harmonized release under unified names, one row per organization.
+
+    Records without an EIN cannot be matched and are left out. Of several
+    records of one organization the newest release wins, then the latest tax
+    period; a hash of the whole record settles what is left, so that a retry
+    keeps the same one.
+    """
     named = raw.transform(harmonize.harmonize).transform(harmonize.to_unified_names)
-    keyed = unify.with_ein2(named)
-    return derive.with_nteev2(keyed) if "NTEE_IRS" in keyed.columns else keyed
+    keyed = unify.with_ein2(named).where(F.col("EIN").isNotNull())
+    if "NTEE_IRS" in keyed.columns:
+        keyed = derive.with_nteev2(keyed)
+    order = [
+        F.desc_nulls_last(c) for c in ("VINTAGE", "F990_TAX_PERIOD_END_DATE") if c in keyed.columns
+    ]
+    return unify.latest_by(keyed, "EIN", *order, F.xxhash64(*keyed.columns))
 
 
 def update_unified(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -41,6 +42,11 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@functools.cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="almoner-")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path for written tables, below the cluster's shared folder.
 
@@ -51,6 +57,5 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="almoner-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _local_root()
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"

@@ -11,7 +11,7 @@ from almoner.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark(tmp_path_factory):
+def spark():
     session = build_session(
         "almoner-tests",
         "local[8]",
@@ -19,7 +19,6 @@ def spark(tmp_path_factory):
             "spark.sql.shuffle.partitions": "8",
             "spark.ui.enabled": "false",
             "spark.driver.memory": "4g",
-            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("scratch")),
         },
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -268,3 +268,14 @@ def test_dictionaries_compare_equal_up_to_their_suffix(spark):
     left = literal_frame(spark, list(xw.CLASSIFICATION_CODES.items()), "code string, label string")
     right = derive.dictionary_frame(spark, ["BMF_TAX_EXEMPT_PURP"])
     assert set(values(harmonize.compare_dictionaries(left, right), "status")) == {"same up to suffix"}
+
+
+def test_accessors(spark):
+    df = literal_frame(spark, [("010010201001000",), (None,)], "CENSUS_BLOCK_FIPS string")
+    found = [unify.get_fips(df, level).collect()[0][1] for level in ("state", "county", "tract")]
+    assert found == ["01", "01001", "01001020100"]
+    with pytest.raises(ValueError):
+        unify.get_fips(df, "zip")
+    assert values(derive.dd(spark, "BMF_STATUS_CODE"), "code") == ["1", "2", "12", "25"]
+    with pytest.raises(ValueError):
+        derive.dd(spark, "ABSENT")
