@@ -57,11 +57,13 @@ def strip_filing_code(code: Column) -> Column:
     """Drop one spurious trailing zero (130 -> 13, 20 -> 2, 100 -> 1); 888 -> NULL.
 
     The two passes run one after the other on purpose: the second one sees what
-    the first one left.
+    the first one left. Only codes ending in zero are matched at all.
     """
-    text = F.regexp_replace(code.cast("string"), "([0-9]{2})0$", "$1")
-    text = F.regexp_replace(text, "([0-9])0$", "$1")
-    return F.nullif(text, F.lit("888"))
+    text = code.cast("string")
+    once = F.regexp_replace(text, "([0-9]{2})0$", "$1")
+    twice = F.regexp_replace(once, "([0-9])0$", "$1")
+    stripped = F.when(F.endswith(text, F.lit("0")), twice).otherwise(text)
+    return F.nullif(stripped, F.lit("888"))
 
 
 def filing_code(code: Column, pf_code: Column) -> Column:

@@ -65,7 +65,7 @@ def test_affiliation_counts_null_as_outside_the_network(spark):
 
 @pytest.mark.parametrize(
     "code, stripped",
-    [("10", "1"), ("130", "13"), ("100", "1"), ("0", "0"), ("888", None), ("21", "21"), (None, None), ("00", "0")],
+    [("10", "1"), ("130", "13"), ("100", "1"), ("0", "0"), ("888", None), ("21", "21"), (None, None), ("00", "0"), ("8880", None), ("A0", "A0")],
 )
 def test_filing_strip(spark, code, stripped):
     df = literal_frame(spark, [(code,)], "c string")
