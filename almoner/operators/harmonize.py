@@ -95,16 +95,17 @@ def harmonize(df: DataFrame) -> DataFrame:
     return cast_columns(drop_unknown(rename_columns(df)))
 
 
+def with_vintage(df: DataFrame, year: int) -> DataFrame:
+    return df if "VINTAGE" in df.columns else df.withColumn("VINTAGE", F.lit(year))
+
+
 def union_vintages(vintages: dict[int, DataFrame]) -> DataFrame:
     """Stack releases, filling columns a release lacks with NULL.
 
     A release that already carries ``VINTAGE`` keeps it, so one frame may hold
     several releases that share a layout.
     """
-    frames = [
-        df if "VINTAGE" in df.columns else df.withColumn("VINTAGE", F.lit(year))
-        for year, df in vintages.items()
-    ]
+    frames = [with_vintage(df, year) for year, df in vintages.items()]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 

@@ -261,7 +261,7 @@ def reconcile_subsections(df: DataFrame, column: str = "BMF_SUBSECTION_CODE", we
     listed = literal_frame(
         df.sparkSession,
         [(code, first.get(code), second.get(code)) for code in sorted({*first, *second})],
-        "code string, irs_label string, nccs_label string",
+        "code string, first_label string, second_label string",
     )
     observed = counts(
         df.select(codes.pad_code(F.col(column)).alias("code"), *([weight] if weight else [])), "code", weight
@@ -271,12 +271,12 @@ def reconcile_subsections(df: DataFrame, column: str = "BMF_SUBSECTION_CODE", we
         .select(
             "code",
             F.coalesce("n", F.lit(0).cast("long")).alias("n"),
-            "irs_label",
-            "nccs_label",
-            F.when(F.col("code").isin(*dictionaries.SUBSECTION_DIFFERS), "different from IRS")
-            .when(F.col("irs_label").isNull() & F.col("nccs_label").isNotNull(), "missing from IRS")
-            .when(F.col("nccs_label").isNull() & F.col("irs_label").isNotNull(), "missing from NCCS")
-            .when(F.col("irs_label").isNull(), "in neither list")
+            "first_label",
+            "second_label",
+            F.when(F.col("code").isin(*dictionaries.SUBSECTION_DIFFERS), "different meaning")
+            .when(F.col("first_label").isNull() & F.col("second_label").isNotNull(), "missing from first list")
+            .when(F.col("second_label").isNull() & F.col("first_label").isNotNull(), "missing from second list")
+            .when(F.col("first_label").isNull(), "in neither list")
             .alias("note"),
         )
     )

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from almoner.fixed import dictionaries
 from almoner.fixed.columns import UNIFIED_SCHEMA
+from almoner.functions.codes import padded_ein
 
 # --- fixed values: code cycles --------------------------------------------------
 SUBSECTION = [3, 3, 3, 92, 4, 50, 91, None, 6, 7, 13, 80, 82, 2]
@@ -180,7 +181,7 @@ def appearances(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _ein(key: str) -> Column:
-    return F.expr(_digits(f"{key} + 10000001", 9)).alias("EIN")
+    return padded_ein(F.col(key) + 10000001).alias("EIN")
 
 
 def filings(spark: SparkSession, folder: str) -> DataFrame:

@@ -359,7 +359,7 @@ _LISTS = _values(
         for c in sorted({*xw.SUBSECTION_CODES, *dict(dictionaries.SECOND_SUBSECTION_LIST)})
     ],
     "lists",
-    "code, irs_label, nccs_label",
+    "code, first_label, second_label",
 )
 
 _CLASSIFICATION = _values(list(xw.CLASSIFICATION_CODES.items()), "classification", "code, label")
@@ -547,11 +547,11 @@ ORACLE: dict[str, str] = {
     "filing_req_pf_override": _with("SELECT EIN, BMF_PF_FILING_REQ_CODE, BMF_FILING_REQ_CODE FROM recoded"),
     "label_pipeline": _with("SELECT * FROM labelled"),
     "subsection_reconcile": _with(
-        """SELECT coalesce(l.code, o.code) AS code, coalesce(o.n, 0) AS n, irs_label, nccs_label,
-          CASE WHEN coalesce(l.code, o.code) = '92' THEN 'different from IRS'
-               WHEN irs_label IS NULL AND nccs_label IS NOT NULL THEN 'missing from IRS'
-               WHEN nccs_label IS NULL AND irs_label IS NOT NULL THEN 'missing from NCCS'
-               WHEN irs_label IS NULL THEN 'in neither list' END AS note
+        """SELECT coalesce(l.code, o.code) AS code, coalesce(o.n, 0) AS n, first_label, second_label,
+          CASE WHEN coalesce(l.code, o.code) = '92' THEN 'different meaning'
+               WHEN first_label IS NULL AND second_label IS NOT NULL THEN 'missing from first list'
+               WHEN second_label IS NULL AND first_label IS NOT NULL THEN 'missing from second list'
+               WHEN first_label IS NULL THEN 'in neither list' END AS note
         FROM lists l FULL JOIN
           (SELECT substr(ORG_TYPE_501C, 6) AS code, count(*) AS n FROM input
            WHERE ORG_TYPE_501C IS NOT NULL GROUP BY 1) o ON o.code = l.code""",
@@ -592,9 +592,9 @@ ORACLE: dict[str, str] = {
         + ", ".join(f"count(*) FILTER (WHERE substr(NTEE_NCCS, 1, 1) = '{c}') AS \"n_{c}\"" for c in q.LETTERS)
         + " FROM registry WHERE NTEE_IRS IS NOT NULL AND NTEE_NCCS IS NOT NULL GROUP BY 1"
     ),
-    "ntee_major": _with("SELECT EIN, substr(NTEE_IRS, 1, 1) AS irs, substr(NTEE_NCCS, 1, 1) AS nccs FROM registry"),
+    "ntee_major": _with("SELECT EIN, substr(NTEE_IRS, 1, 1) AS first_letter, substr(NTEE_NCCS, 1, 1) AS second_letter FROM registry"),
     "ntee_agreement": _with(
-        """SELECT substr(NTEE_IRS, 1, 1) AS irs, substr(NTEE_NCCS, 1, 1) AS nccs, count(*) AS n
+        """SELECT substr(NTEE_IRS, 1, 1) AS first_letter, substr(NTEE_NCCS, 1, 1) AS second_letter, count(*) AS n
         FROM registry WHERE NTEE_IRS IS NOT NULL AND NTEE_NCCS IS NOT NULL GROUP BY 1, 2"""
     ),
     "year_gather_count": _with(

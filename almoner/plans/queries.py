@@ -574,24 +574,24 @@ LETTERS = [chr(c) for c in range(ord("A"), ord("Z") + 1)]
 @query("crosstab_no_na")
 def crosstab_no_na(spark: SparkSession, folder: str) -> DataFrame:
     letters = fx.registry(spark, folder).select(
-        taxonomy.major_group(F.col("NTEE_IRS")).alias("irs"),
-        taxonomy.major_group(F.col("NTEE_NCCS")).alias("nccs"),
+        taxonomy.major_group(F.col("NTEE_IRS")).alias("first_letter"),
+        taxonomy.major_group(F.col("NTEE_NCCS")).alias("second_letter"),
     )
-    return reports.crosstab(letters, "irs", "nccs", LETTERS, with_missing=False)
+    return reports.crosstab(letters, "first_letter", "second_letter", LETTERS, with_missing=False)
 
 
 @query("ntee_major")
 def ntee_major(spark: SparkSession, folder: str) -> DataFrame:
     return fx.registry(spark, folder).select(
         "EIN",
-        taxonomy.major_group(F.col("NTEE_IRS")).alias("irs"),
-        taxonomy.major_group(F.col("NTEE_NCCS")).alias("nccs"),
+        taxonomy.major_group(F.col("NTEE_IRS")).alias("first_letter"),
+        taxonomy.major_group(F.col("NTEE_NCCS")).alias("second_letter"),
     )
 
 
 @query("ntee_agreement")
 def ntee_agreement(spark: SparkSession, folder: str) -> DataFrame:
-    return reports.agreement(ntee_major(spark, folder), "irs", "nccs")
+    return reports.agreement(ntee_major(spark, folder), "first_letter", "second_letter")
 
 
 @query("year_gather_count")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from almoner.fixed.crosswalk import COLUMN_NAMES
-from almoner.plans.update import prepare_release, update_unified
+from almoner.plans.unified import prepare_release, update_unified
 
 # a published release: any of the legacy columns as text, and its release
 RAW_SCHEMA = T.StructType(

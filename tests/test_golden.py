@@ -85,9 +85,9 @@ def test_hierarchy(types):
 def test_subsection_notes(types):
     rows = {r.code: r for r in reports.reconcile_subsections(types, weight="n").collect()}
     notes = {code: r.note for code, r in rows.items()}
-    assert [c for c in sorted(notes) if notes[c] == "missing from IRS"] == ["80", "82", "90", "91", "93", "CO"]
-    assert [c for c in sorted(notes) if notes[c] == "different from IRS"] == ["92"]
-    assert notes["29"] == "missing from NCCS" and notes["00"] == "in neither list"
+    assert [c for c in sorted(notes) if notes[c] == "missing from first list"] == ["80", "82", "90", "91", "93", "CO"]
+    assert [c for c in sorted(notes) if notes[c] == "different meaning"] == ["92"]
+    assert notes["29"] == "missing from second list" and notes["00"] == "in neither list"
     assert rows["03"].n == 2503387 and rows["22"].n == 0 and notes["03"] is None
 
 

@@ -6,9 +6,11 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
+from almoner.fixed.columns import FINAL_COLUMNS
 from almoner.operators import unify
 from almoner.plans import fixtures as fx
-from almoner.plans.update import prepare_release, update_unified
+from almoner.plans.labelling import label_registry
+from almoner.plans.unified import build_unified, complete, prepare_release, update_unified
 from almoner.session import scratch_path
 from almoner.streaming.refresh import publish_release, refresh, version_path
 
@@ -51,3 +53,19 @@ def test_update_with_filings_and_blocks(spark, folder):
     assert out.where("CENSUS_URBAN_AREA = 'NEW'").count() == unified.count()
     assert out.where("TRACT_FIPS IS NOT NULL").count() > 0
     assert set(unify.RECENT.values()) <= set(out.columns)
+
+
+def test_from_raw_releases_to_labels(spark, folder):
+    """The whole way: two layouts of raw text in, labelled organizations out."""
+    unified = build_unified(fx.vintages(spark, folder))
+    orders = fx.table(spark, folder, "orders")
+    assert unified.count() == orders.select("o_custkey").distinct().count()
+    spans = fx.appearances(spark, folder).transform(unify.year_span)
+    assert rows(unified.select(spans.columns)) == rows(spans)
+    status = unify.activity_status(fx.appearances(spark, folder), vintage="YEAR")
+    assert unified.where("ACTIVE").count() == status.where("STATUS = 'ACTIVE'").count()
+    labelled = label_registry(complete(unified))
+    assert labelled.columns == FINAL_COLUMNS and labelled.count() == unified.count()
+    assert labelled.where("ORG_TYPE_501C = '501C_03'").count() > 0
+    text = unified._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange hashpartitioning(EIN") <= 3
