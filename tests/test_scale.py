@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from almoner.operators import unify
 from almoner.operators.joins import lookup_join
 from almoner.plans import queries
-from almoner.plans.labelling import label_registry
+from almoner.plans.labelling import label_in_steps, label_registry
 
 
 def plan(df) -> str:
@@ -19,6 +19,13 @@ def test_labelling_never_shuffles(spark, folder):
     assert "Exchange" not in text and "Python" not in text
 
 
+def test_one_projection_gives_what_the_steps_give(spark, folder):
+    unified = queries._unified(spark, folder)
+    one, steps = label_registry(unified), label_in_steps(unified)
+    assert one.schema.simpleString() == steps.schema.simpleString()
+    assert sorted(map(str, one.collect())) == sorted(map(str, steps.collect()))
+
+
 def test_reports_read_only_what_they_need(spark, folder):
     text = plan(queries.QUERIES["freq_counts"](spark, folder))
     assert "ReadSchema: struct<c_custkey:bigint>" in text
