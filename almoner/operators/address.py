@@ -31,7 +31,8 @@ def sample_rows(df: DataFrame, key: str, n: int = 100, seed: int = 123) -> DataF
 
     Rows are ordered by a hash of a unique key and the seed and the first ``n``
     are taken: each task keeps at most ``n`` rows, and neither the number of
-    partitions nor a retry changes the draw.
+    partitions nor a retry changes the draw. The hash is a column of its own so
+    that it is computed once per row and not in every comparison.
     """
     draw = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
-    return df.orderBy(draw, F.col(key)).limit(n)
+    return df.withColumn("_draw", draw).orderBy("_draw", key).limit(n).drop("_draw")

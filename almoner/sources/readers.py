@@ -15,10 +15,15 @@ from almoner.fixed.crosswalk import CROSSWALK_SCHEMA
 CORRUPT = "_corrupt_record"
 
 
-def read_table(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+def read_table(
+    spark: SparkSession, path: str, schema: T.StructType | str, multiline: bool = False
+) -> DataFrame:
     """CSV with a known schema, so identifiers keep their leading zeros and no
-    inference pass runs. ``NA`` and blanks are NULL, a quoted ``""`` is empty text."""
-    return spark.read.schema(schema).csv(path, header=True, nullValue="NA", escape='"')
+    inference pass runs. ``NA`` and blanks are NULL, a quoted ``""`` is empty text.
+    ``multiline`` allows line breaks inside values; a file is then one task."""
+    return spark.read.schema(schema).csv(
+        path, header=True, nullValue="NA", escape='"', multiLine=multiline
+    )
 
 
 def read_unified(spark: SparkSession, path: str) -> DataFrame:

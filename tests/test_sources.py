@@ -86,5 +86,5 @@ def test_empty_text_and_null_survive_csv(spark):
     df = literal_frame(spark, [("", "a"), (None, " b "), ("x\ny", 'q"q')], "p string, r string")
     path = scratch_path(spark, "csv")
     writers.write_csv(df, path)
-    back = spark.read.schema(df.schema).csv(path, header=True, escape='"', nullValue="NA", multiLine=True)
+    back = readers.read_table(spark, path, df.schema, multiline=True)
     assert sorted(map(str, back.collect())) == sorted(map(str, df.collect()))
