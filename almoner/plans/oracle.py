@@ -545,7 +545,7 @@ ORACLE: dict[str, str] = {
         f"SELECT EIN, BMF_FILING_REQ_CODE, {_pad(_strip('BMF_FILING_REQ_CODE'))} AS padded FROM registry"
     ),
     "filing_req_pf_override": _with("SELECT EIN, BMF_PF_FILING_REQ_CODE, BMF_FILING_REQ_CODE FROM recoded"),
-    "label_pipeline": _with("SELECT * FROM labelled"),
+    "label_registry": _with("SELECT * FROM labelled"),
     "subsection_reconcile": _with(
         """SELECT coalesce(l.code, o.code) AS code, coalesce(o.n, 0) AS n, first_label, second_label,
           CASE WHEN coalesce(l.code, o.code) = '92' THEN 'different meaning'

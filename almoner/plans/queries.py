@@ -515,8 +515,8 @@ def filing_req_pf_override(spark: SparkSession, folder: str) -> DataFrame:
     return recoded.select("EIN", "BMF_PF_FILING_REQ_CODE", "BMF_FILING_REQ_CODE")
 
 
-@query("label_pipeline")
-def label_pipeline(spark: SparkSession, folder: str) -> DataFrame:
+@query("label_registry")
+def labelled_registry(spark: SparkSession, folder: str) -> DataFrame:
     return _labelled(spark, folder)
 
 

@@ -41,7 +41,7 @@ def purpose(unified):
 
 
 ON_UNIFIED = {
-    "label_pipeline": label_registry,
+    "label_registry": label_registry,
     "tax_exempt_purpose": purpose,
     "nteev2": lambda u: derive.with_nteev2(u).select("EIN2", "NTEEV2"),
     "freq_counts": lambda u: reports.frequency(label_registry(u), "BMF_FOUNDATION_CODE"),
@@ -79,7 +79,7 @@ def main() -> None:
         spark, fx.registry_rows(spark.range(PUBLISHED_ROWS), "id", "id", "id", "id % 25")
     )
     jobs = {
-        "label_pipeline_published_size": lambda: label_registry(published),
+        "label_registry_published_size": lambda: label_registry(published),
         "tax_exempt_purpose_published_size": lambda: purpose(published),
     }
     for name, job in ON_UNIFIED.items():
