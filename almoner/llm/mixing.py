@@ -24,7 +24,8 @@ Other columns are ignored or, in ``mixed_documents``, kept.
 
 from __future__ import annotations
 
-import functools
+import itertools
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -254,6 +255,14 @@ def taken_words(docs: DataFrame, seed: int = 0) -> DataFrame:
     )
 
 
+def piece(text: str, first: int, n: int, size: int) -> str:
+    """Words ``first`` to ``first + n`` of ``text``, which has ``size``."""
+    if n == size:
+        return text
+    starts = [m.start() for m in itertools.islice(re.finditer(WORD, text), first + n + 1)]
+    return text[starts[first] if first else 0 : starts[first + n] if first + n < size else len(text)]
+
+
 def mixed_documents(docs: DataFrame, seed: int = 0) -> DataFrame:
     """The mix as documents: a row per piece, with the piece as its text.
 
@@ -265,17 +274,21 @@ def mixed_documents(docs: DataFrame, seed: int = 0) -> DataFrame:
     row = fresh(docs, "row")
     stored = written(numbered(docs, row), "mixing")
     line = lines(stored, seed, row)
-    mix = pieces(line, sources(line), seed)
-    cut = {c: fresh(docs, c) for c in ("first_word", "n_words", "copy", "shard", "position")}
-    mix = mix.join(line.select("row", "size"), "row").select(F.col("row").alias(row), *[F.col(c).alias(cut[c]) for c in cut], F.col("size").alias(fresh(docs, "size")))
-    size, first, n = F.col(fresh(docs, "size")), F.col(cut["first_word"]), F.col(cut["n_words"])
-    text = F.col("text").cast("string")
-    # before its first word a piece keeps nothing, after its last all up to the next word
-    skipped = F.regexp_replace(text, F.concat(F.lit(r"^[\x20\x09-\x0D]*(?:[^\x20\x09-\x0D]++[\x20\x09-\x0D]*+){"), first.cast("string"), F.lit("}")), F.lit(""))
-    tail = F.when(first == 0, text).otherwise(skipped)
-    head = F.call_function("regexp_extract", tail, F.concat(F.lit(r"^[\x20\x09-\x0D]*+(?:[^\x20\x09-\x0D]++[\x20\x09-\x0D]*+){"), n.cast("string"), F.lit("}")), F.lit(0))
-    piece = F.when(first + n == size, tail).otherwise(head)
-    out = stored.join(mix, row).withColumn("text", piece)
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
-    return out.repartitionByRange(cut["shard"], cut["position"]).sortWithinPartitions(cut["shard"], cut["position"]).select(*docs.columns)
+    mix = pieces(line, sources(line), seed).join(line.select("row", "size"), "row")
+    extra = {c: fresh(docs, c) for c in ("first_word", "n_words", "size", "shard", "position")}
+    mix = mix.select(F.col("row").alias(row), *[F.col(c).cast("long").alias(name) for c, name in extra.items()])
+    names, schema = docs.columns, stored.drop(row).schema
+
+    def run(batches):
+        for batch in batches:
+            first, n, size = (batch.column(extra[c]).to_pylist() for c in ("first_word", "n_words", "size"))
+            texts = [piece(*x) for x in zip(batch.column("text").to_pylist(), first, n, size)]
+            columns = {c: batch.column(c) for c in names}
+            columns["text"] = pa.array(texts, columns["text"].type)
+            if "n_chars" in columns:
+                columns["n_chars"] = pa.array(map(len, texts), columns["n_chars"].type)
+            yield pa.RecordBatch.from_arrays(list(columns.values()), names=names)
+
+    order = [extra["shard"], extra["position"]]
+    out = stored.join(mix, row).drop(row).repartitionByRange(*order).sortWithinPartitions(*order)
+    return out.mapInArrow(run, schema)
