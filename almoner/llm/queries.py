@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from almoner.llm import bpe, exact_dedup, mixing, ngram_join, token_files
+from almoner.llm import bpe, exact_dedup, mixing, ngram_join, token_files, toxicity
 from almoner.llm.common import table
 
 
@@ -14,6 +14,10 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), 2)
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxic_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken_words(table(spark, sf_dir, "documents"))
 
@@ -38,6 +42,7 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_token_files": op1_token_files,
+    "op2_toxicity": op2_toxicity,
     "op3_source_mix": op3_source_mix,
     "op5_ngram_join": op5_ngram_join,
     "op8_byte_bpe": op8_byte_bpe,
