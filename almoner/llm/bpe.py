@@ -29,8 +29,9 @@ from collections.abc import Iterable, Iterator
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
-from almoner.llm.common import ship, text_of
+from almoner.llm.common import fresh, ship, text_of
 
 STATES, CHUNKS = 200_000, 250_000
 LONG_CHUNK = 64
@@ -242,6 +243,25 @@ def coders(path: str, pattern: str) -> tuple[Encoder, Decoder]:
     return encoder, Decoder(encoder.transducer.bytes_of)
 
 
+def encoded(docs: DataFrame, path: str, pattern: str) -> DataFrame:
+    """``docs`` with the text's ids, and their number, in place of the text."""
+    ship(docs.sparkSession)
+    ids, number = fresh(docs, "ids"), fresh(docs, "n_tokens")
+    rows = docs.withColumn("text", text_of(docs))
+    schema = T.StructType([*(f for f in docs.schema if f.name != "text"), T.StructField(ids, T.ArrayType(T.IntegerType())), T.StructField(number, T.LongType())])
+
+    def run(batches):
+        encoder, _ = coders(path, pattern)
+        for batch in batches:
+            for part in range(0, batch.num_rows, 500):
+                cut = batch.slice(part, 500)
+                found = [encoder.encode(text) for text in cut.column("text").to_pylist()]
+                kept = [cut.column(f.name) for f in schema.fields[:-2]]
+                yield pa.RecordBatch.from_arrays([*kept, pa.array(found, pa.list_(pa.int32())), pa.array(map(len, found), pa.int64())], names=schema.names)
+
+    return rows.mapInArrow(run, schema)
+
+
 def transcoded(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """Per document its ids and the text decoded from them."""
 
