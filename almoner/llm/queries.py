@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from almoner.llm import bpe, exact_dedup, mixing, ngram_join, token_files, toxicity
+from almoner.llm import bpe, exact_dedup, mixing, ngram_join, perspectives, token_files, toxicity
 from almoner.llm.common import table
 
 
@@ -40,6 +40,10 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicates(table(spark, sf_dir, "documents"))
 
 
+def op10_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return perspectives.perspectives(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_token_files": op1_token_files,
     "op2_toxicity": op2_toxicity,
@@ -47,9 +51,11 @@ QUERIES = {
     "op5_ngram_join": op5_ngram_join,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_exact_dedup": op9_exact_dedup,
+    "op10_perspectives": op10_perspectives,
 }
 
 ORACLE = {
+    "op10_perspectives": perspectives.SQL,
     "op9_exact_dedup": """
         WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
         g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY t)
