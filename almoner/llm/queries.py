@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from almoner.llm import bpe, exact_dedup, mixing, ngram_join, perspectives, token_files, toxicity
+from almoner.llm import bpe, exact_dedup, license_scan, mixing, ngram_join, perspectives, token_files, toxicity
 from almoner.llm.common import table
 
 
@@ -26,6 +26,10 @@ def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.joined(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.licenses(table(spark, sf_dir, "documents")).drop("detections")
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = bpe.transcoded(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     return coded.select(
@@ -49,6 +53,7 @@ QUERIES = {
     "op2_toxicity": op2_toxicity,
     "op3_source_mix": op3_source_mix,
     "op5_ngram_join": op5_ngram_join,
+    "op6_license_scan": op6_license_scan,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_perspectives": op10_perspectives,
