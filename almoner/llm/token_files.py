@@ -21,6 +21,7 @@ manifest.
 from __future__ import annotations
 
 import functools
+import os
 import uuid
 import zlib
 
@@ -36,7 +37,7 @@ from almoner.llm.common import ship, text_of
 from almoner.session import scratch_path
 
 LENGTH, BATCH = 1024, 256
-CHUNKS, LONG_CHUNK = 250_000, 64
+CHUNKS = 200_000
 DOCUMENTS = pa.schema([("doc_id", pa.int64()), ("first", pa.int64()), ("n_tokens", pa.int64())])
 MANIFEST = "shard int, path string, n_docs long, n_tokens long, n_sequences long"
 
@@ -46,50 +47,61 @@ class Encoder:
 
     The vocabulary's splitting pattern always ends a piece between a character
     that isn't white space and a single blank before another such character, so
-    a text's ids are those of its chunks cut there.
+    a text's ids are those of its chunks cut there. It ends one after a line
+    break, too, so new chunks go through the tokenizer as the lines of one text.
     """
 
     def __init__(self, path: str, as_bytes: str):
-        from tokenizers import Tokenizer
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer, processors
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are text
-        self.as_bytes = as_bytes
+        self.tokenizer.post_processor = processors.ByteLevel(trim_offsets=False)
+        self.dtype = np.dtype(as_bytes)
         self.chunks: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.as_bytes).tobytes()
-
-    def learn(self, chunks: set[str]) -> None:
-        if len(self.chunks) + len(chunks) > 2 * CHUNKS:
-            self.chunks = {}
-        new = sorted(c for c in chunks if c not in self.chunks)
-        for found, encoding in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            self.chunks[found] = np.array(encoding.ids, self.as_bytes).tobytes()
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
+
+    def learn(self, chunks: list[str]) -> None:
+        for at in range(0, len(chunks), 5000):
+            part = chunks[at : at + 5000]
+            encoding = self.tokenizer.encode("\n".join(part), add_special_tokens=False)
+            ids = np.array(encoding.ids, self.dtype).tobytes()
+            starts = np.fromiter((start for start, _ in encoding.offsets), np.int64)
+            ends = np.cumsum([len(c) + 1 for c in part])
+            first = np.searchsorted(starts, ends - [len(c) + 1 for c in part]) * self.dtype.itemsize
+            stop = np.searchsorted(starts, ends - 1) * self.dtype.itemsize
+            for chunk, i, j in zip(part, first.tolist(), stop.tolist()):
+                self.chunks[chunk] = ids[i:j]
+
+    def cut(self, text: str, missing: dict[str, None]) -> list[str] | None:
+        """The chunks of a text, new ones noted; None if blanks don't cut it."""
+        first, *rest = text.split(" ")
+        if not first:
+            return None
+        chunks = [first, *[" " + word for word in rest]]
+        for chunk in chunks:
+            if chunk not in self.chunks:
+                if (ids := self.older.get(chunk)) is not None:
+                    self.chunks[chunk] = ids
+                elif chunk == " " or chunk[chunk[0] == " "].isspace() or chunk[-1].isspace():
+                    return None
+                else:
+                    missing[chunk] = None
+        return chunks
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian ids of each text."""
-        known = self.chunks
-        cut, missing = [], set()
-        for text in texts:
-            first, *rest = text.split(" ")
-            chunks = [first, *[" " + word for word in rest]] if first else None
-            for c in chunks or ():
-                if c not in known and c not in missing:
-                    if len(c) == 1 and c is not first or c[c is not first].isspace() or c[-1].isspace():
-                        chunks = None
-                        break
-                    missing.add(c)
-            cut.append(chunks)
-        self.learn(missing)
-        known = self.chunks
-        out = []
-        for text, chunks in zip(texts, cut):
-            try:
-                out.append(self.whole(text) if chunks is None else b"".join([known[c] for c in chunks]))
-            except KeyError:  # the table was emptied meanwhile
-                out.append(self.whole(text))
-        return out
+        if len(self.chunks) > CHUNKS:
+            self.chunks, self.older = {}, self.chunks
+        missing: dict[str, None] = {}
+        cut = [self.cut(text, missing) for text in texts]
+        self.learn(list(missing))
+        known = self.chunks.__getitem__
+        return [self.whole(text) if chunks is None else b"".join(map(known, chunks)) for text, chunks in zip(texts, cut)]
 
 
 @functools.lru_cache(maxsize=2)
@@ -202,8 +214,8 @@ def write_ids(docs: DataFrame, tokenizer: str, end: int, folder: str, length: in
         writer, coder = None, encoder(tokenizer, dtype)
         shard = TaskContext.get().partitionId()
         for batch in batches:
-            for part in range(0, batch.num_rows, 500):
-                rows = batch.slice(part, 500)
+            for part in range(0, batch.num_rows, 250):
+                rows = batch.slice(part, 250)
                 writer = writer or ShardWriter(folder, shard, dtype, length, end)
                 writer.add(rows.column(0).to_pylist(), coder.encode(rows.column(1).to_pylist()))
         if writer:
