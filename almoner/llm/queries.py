@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from almoner.llm import bpe, exact_dedup, license_scan, mixing, ngram_join, perspectives, token_files, toxicity
+from almoner.llm import bpe, exact_dedup, fingerprints, license_scan, mixing, ngram_join, perspectives, token_files, toxicity
 from almoner.llm.common import table
 
 
@@ -30,6 +30,10 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.licenses(table(spark, sf_dir, "documents")).drop("detections")
 
 
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited(table(spark, sf_dir, "documents"))
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = bpe.transcoded(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     return coded.select(
@@ -54,6 +58,7 @@ QUERIES = {
     "op3_source_mix": op3_source_mix,
     "op5_ngram_join": op5_ngram_join,
     "op6_license_scan": op6_license_scan,
+    "op7_fingerprints": op7_fingerprints,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_perspectives": op10_perspectives,
