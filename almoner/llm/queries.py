@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from almoner.llm import bpe, exact_dedup, fingerprints, license_scan, mixing, ngram_join, perspectives, token_files, toxicity
+from almoner.llm import bpe, exact_dedup, fingerprints, license_scan, mixing, ngram_join, perspectives, style_tree, token_files, toxicity
 from almoner.llm.common import table
 
 
@@ -22,6 +22,10 @@ def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken_words(table(spark, sf_dir, "documents"))
 
 
+def op4_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return style_tree.extracted(table(spark, sf_dir, "pages"))
+
+
 def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.joined(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
@@ -56,6 +60,7 @@ QUERIES = {
     "op1_token_files": op1_token_files,
     "op2_toxicity": op2_toxicity,
     "op3_source_mix": op3_source_mix,
+    "op4_style_tree": op4_style_tree,
     "op5_ngram_join": op5_ngram_join,
     "op6_license_scan": op6_license_scan,
     "op7_fingerprints": op7_fingerprints,
