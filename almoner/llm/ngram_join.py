@@ -14,8 +14,10 @@
 4. In a cell, sets sorted by size become a tree whose nodes hold the OR of their
    bitmaps, the range of sizes, and the largest number of shingles that share a
    bit with another one. The dual traversal drops a pair of nodes if the sizes or
-   the largest overlap these allow rule out a link, or if all its sets are
-   connected already. What is left is compared shingle by shingle.
+   the largest overlap these allow rule out a link. A first traversal has the
+   bitmaps alone and tells which sets have a possible partner; only their texts
+   travel. In the second, what is left is compared shingle by shingle, but for
+   nodes whose sets are all connected already.
 5. Components of the verified links.
 
 A text without words has no shingles and links with nothing; missing texts count
@@ -98,11 +100,12 @@ def sets(docs: DataFrame, row: str | None, k: int) -> DataFrame:
         for batch in batches:
             for part in range(0, batch.num_rows, 1000):
                 rows = batch.slice(part, 1000)
-                keys, sizes, firsts = [], [], []
+                keys, sizes, firsts, maps = [], [], [], []
                 for text in rows.column(3).to_pylist():
                     tokens = shingle_hashes(text, k)
                     keys.append(xxhash.xxh3_128_digest(tokens.tobytes()))
                     sizes.append(len(tokens))
+                    maps.append(bitmap(tokens, width(len(tokens))).tobytes())
                     # 48 bits tell tokens apart well enough to meet: links are verified
                     firsts.append((prefix(tokens, common, counts) >> np.uint64(16)).view(np.int64) if len(tokens) else np.empty(0, np.int64))
                 yield pa.RecordBatch.from_arrays(
@@ -111,15 +114,16 @@ def sets(docs: DataFrame, row: str | None, k: int) -> DataFrame:
                         pa.array(keys, pa.binary()),
                         pa.array(sizes, pa.int64()),
                         pa.array(firsts, pa.list_(pa.int64())),
+                        pa.array(maps, pa.binary()),
                     ],
-                    names=["row", "doc_id", "text_hash", "key", "n_shingles", "first"],
+                    names=["row", "doc_id", "text_hash", "key", "n_shingles", "first", "bitmap"],
                 )
 
     text = text_of(docs)
     number = F.col(row) if row else F.monotonically_increasing_id()
     return written(
         docs.select(number.alias("row"), docs["doc_id"].cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text")).mapInArrow(
-            run, "row long, doc_id long, text_hash long, key binary, n_shingles long, first array<long>"
+            run, "row long, doc_id long, text_hash long, key binary, n_shingles long, first array<long>, bitmap binary"
         ),
         "sets",
     )
@@ -129,7 +133,7 @@ def vertices(rows: DataFrame) -> DataFrame:
     """One stored row per set that isn't empty: a number, its first document, its tokens."""
     least = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "row", "text_hash"))
     return written(
-        rows.filter("n_shingles > 0").groupBy("key").agg(least.alias("least"), F.first("first").alias("first")).withColumn("vertex", F.monotonically_increasing_id()),
+        rows.filter("n_shingles > 0").groupBy("key").agg(least.alias("least"), F.first("first").alias("first"), F.first("n_shingles").alias("n_shingles"), F.first("bitmap").alias("bitmap")).withColumn("vertex", F.monotonically_increasing_id()),
         "vertices",
     )
 
@@ -167,27 +171,31 @@ class Union:
         self.parent[max(a, b)] = min(a, b)
 
 
+def width(size: int) -> int:
+    """Bits of the map of a set, a power of two."""
+    return 1 << max(6, min(15, (2 * size - 1).bit_length()))
+
+
+def bitmap(tokens: np.ndarray, bits: int) -> np.ndarray:
+    out = np.zeros(bits // 64, np.uint64)
+    at = tokens >> np.uint64(20) & np.uint64(bits - 1)
+    np.bitwise_or.at(out, (at >> np.uint64(6)).astype(np.int64), np.uint64(1) << (at & np.uint64(63)))
+    return out
+
+
 class SignatureTree:
     """Sets in order of size under nodes with OR-ed bitmaps and size ranges."""
 
-    def __init__(self, found: list[np.ndarray]):
-        self.sets = found
-        self.sizes = np.array([len(s) for s in found])
-        bits = 1 << max(7, min(15, int(self.sizes.max() * 2 - 1).bit_length()))
-        maps = np.zeros((len(found), bits // 64), np.uint64)
-        for row, tokens in zip(maps, found):
-            at = tokens >> np.uint64(20) & np.uint64(bits - 1)
-            np.bitwise_or.at(row, (at >> np.uint64(6)).astype(np.int64), np.uint64(1) << (at & np.uint64(63)))
+    def __init__(self, maps: np.ndarray, sizes: np.ndarray):
         # shingles of a set that may hide behind another one's bit
-        hidden = self.sizes - np.bitwise_count(maps).sum(1).astype(np.int64)
-        self.levels = [(maps, self.sizes, self.sizes, hidden)]
+        hidden = sizes - np.bitwise_count(maps).sum(1).astype(np.int64)
+        self.levels = [(maps, sizes, sizes, hidden)]
         for fan in [LEAF, *[FAN] * 20]:
             maps, least, most, hidden = self.levels[-1]
             if len(maps) == 1:
                 break
             at = np.arange(0, len(maps), fan)
             self.levels.append((np.bitwise_or.reduceat(maps, at, axis=0), np.minimum.reduceat(least, at), np.maximum.reduceat(most, at), np.maximum.reduceat(hidden, at)))
-        self.union = Union(len(found))
 
     def possible(self, level: int, a: slice, b: slice) -> np.ndarray:
         """Which pairs of nodes may hold a link."""
@@ -203,31 +211,66 @@ class SignatureTree:
         fan = LEAF if level == 1 else FAN
         return slice(node * fan, min((node + 1) * fan, len(self.levels[level - 1][0])))
 
-    def traverse(self) -> None:
-        """Join all sets that links connect."""
+    def traverse(self, settled) -> Iterator[tuple[int, int]]:
+        """Pairs of sets that may be linked, but for leaves where ``settled(rows, columns)``."""
         todo = [(len(self.levels) - 1, 0, 0)]
         while todo:
             level, a, b = todo.pop()
             if level == 0:
-                self.compare(a, b)
+                yield a, b
                 continue
             rows, columns = self.span(level, a), self.span(level, b)
-            if level == 1:
-                roots = {self.union.find(x) for r in (rows, columns) for x in range(r.start, r.stop)}
-                if len(roots) == 1 and rows.stop - rows.start > 1:
-                    continue
+            if level == 1 and settled(rows, columns):
+                continue
             fits = np.argwhere(self.possible(level - 1, rows, columns))
             pairs = [(level - 1, rows.start + int(x), columns.start + int(y)) for x, y in fits]
             # far pairs first on the stack: near ones, likely alike, are done before
             todo += sorted((p for p in pairs if p[1] <= p[2] and (level > 1 or p[1] < p[2])), key=lambda p: p[1] - p[2])
 
-    def compare(self, a: int, b: int) -> None:
-        if self.union.find(a) == self.union.find(b):
-            return
-        x, y = self.sets[a], self.sets[b]
-        both = len(x) + len(y) - len(np.union1d(x, y))
-        if both * WHOLE >= PART * (len(x) + len(y) - both):
-            self.union.join(a, b)
+
+def with_partner(maps: list[bytes], sizes: np.ndarray) -> np.ndarray:
+    """Which sets, sorted by size, have another one that their bitmaps allow a link with."""
+    found = np.zeros(len(sizes), bool)
+    lengths = np.array([len(m) for m in maps])
+    for length in np.unique(lengths):
+        # sets of linked sizes have maps of this length or twice that
+        own = np.flatnonzero((lengths == length) | (lengths == 2 * length))
+        if len(own) < 2:
+            continue
+        rows = np.zeros((len(own), length // 8), np.uint64)
+        for row, x in zip(rows, own):
+            words = np.frombuffer(maps[x], np.uint64)
+            row[:] = words if len(words) == len(row) else words[: len(row)] | words[len(row) :]
+        narrow = lengths[own] == length
+        tree = SignatureTree(rows, sizes[own])
+        marked = found[own]
+
+        def settled(a: slice, b: slice, narrow=narrow, marked=marked) -> bool:
+            return bool((marked[a].all() and marked[b].all()) or not (narrow[a].any() or narrow[b].any()))
+
+        for a, b in tree.traverse(settled):
+            if narrow[a] or narrow[b]:
+                marked[a] = marked[b] = True
+        found[own] = marked
+    return found
+
+
+def connected(sets_: list[np.ndarray]) -> Union:
+    """Of sets sorted by size, which ones links connect."""
+    sizes, union = np.array([len(s) for s in sets_]), Union(len(sets_))
+    bits = width(int(sizes.max()))
+    tree = SignatureTree(np.array([bitmap(s, bits) for s in sets_]), sizes)
+
+    def settled(a: slice, b: slice) -> bool:
+        return len({union.find(x) for r in (a, b) for x in range(r.start, r.stop)}) == 1
+
+    for a, b in tree.traverse(settled):
+        if union.find(a) != union.find(b):
+            x, y = sets_[a], sets_[b]
+            both = len(x) + len(y) - len(np.union1d(x, y))
+            if both * WHOLE >= PART * (len(x) + len(y) - both):
+                union.join(a, b)
+    return union
 
 
 def runs(batches, keys: int) -> Iterator[tuple[tuple, list[list]]]:
@@ -245,6 +288,33 @@ def runs(batches, keys: int) -> Iterator[tuple[tuple, list[list]]]:
         yield key, held
 
 
+CELL_KEY = ["leader", "i", "j"]
+
+
+def promising(members: DataFrame, found: DataFrame) -> DataFrame:
+    """The members of cells whose bitmap allows a link with another member's."""
+
+    def run(batches):
+        keys, vertices_ = [], []
+
+        def flushed():
+            return pa.RecordBatch.from_arrays([*(pa.array([k[i] for k in keys], t) for i, t in enumerate((pa.int64(), pa.int32(), pa.int32()))), pa.array(vertices_, pa.int64())], names=[*CELL_KEY, "vertex"])
+
+        for key, rows in runs(batches, 3):
+            rows = sorted({v: (n, v, m) for v, n, m in rows}.values())
+            if len(rows) > 1:
+                for x in np.flatnonzero(with_partner([m for _, _, m in rows], np.array([n for n, _, _ in rows]))):
+                    keys.append(key)
+                    vertices_.append(rows[x][1])
+            if len(keys) > 10_000:
+                yield flushed()
+                keys, vertices_ = [], []
+        yield flushed()
+
+    rows = members.join(found.select("vertex", "n_shingles", "bitmap"), "vertex").select(*CELL_KEY, "vertex", "n_shingles", "bitmap")
+    return written(rows.repartition(*CELL_KEY).sortWithinPartitions(*CELL_KEY).mapInArrow(run, "leader long, i int, j int, vertex long"), "promising")
+
+
 def links(members: DataFrame, k: int) -> DataFrame:
     """Within every cell, each connected set's first one: ``(src, dst)`` with ``src > dst``."""
 
@@ -255,23 +325,21 @@ def links(members: DataFrame, k: int) -> DataFrame:
             if len(texts) < 2:
                 continue
             found = sorted(((shingle_hashes(t, k), v) for v, t in texts.items()), key=lambda p: (len(p[0]), p[1]))
-            tree = SignatureTree([s for s, _ in found])
-            tree.traverse()
+            union = connected([s for s, _ in found])
             least: dict[int, int] = {}
             for x, (_, vertex) in enumerate(found):
-                root = tree.union.find(x)
+                root = union.find(x)
                 least[root] = min(vertex, least.get(root, vertex))
             for x, (_, vertex) in enumerate(found):
-                if vertex != least[tree.union.find(x)]:
+                if vertex != least[union.find(x)]:
                     src.append(vertex)
-                    dst.append(least[tree.union.find(x)])
+                    dst.append(least[union.find(x)])
             if len(src) > 10_000:
                 yield pa.RecordBatch.from_arrays([pa.array(src, pa.int64()), pa.array(dst, pa.int64())], names=["src", "dst"])
                 src, dst = [], []
         yield pa.RecordBatch.from_arrays([pa.array(src, pa.int64()), pa.array(dst, pa.int64())], names=["src", "dst"])
 
-    cell = ["leader", "i", "j"]
-    return members.select(*cell, "vertex", "text").repartition(*cell).sortWithinPartitions(*cell).mapInArrow(run, "src long, dst long")
+    return members.select(*CELL_KEY, "vertex", "text").repartition(*CELL_KEY).sortWithinPartitions(*CELL_KEY).mapInArrow(run, "src long, dst long")
 
 
 # --- the join ----------------------------------------------------------------
@@ -283,7 +351,7 @@ def joined(docs: DataFrame, row: str | None = None, k: int = K, cell: int = CELL
     found = vertices(rows)
     text = text_of(docs)
     texts = docs.select(docs["doc_id"].cast("long").alias("d"), F.xxhash64(text).alias("h"), text.alias("text"))
-    members = cells(found, cell).join(found.select("vertex", "least.doc_id", "least.text_hash"), "vertex")
+    members = promising(cells(found, cell), found).join(found.select("vertex", "least.doc_id", "least.text_hash"), "vertex")
     members = members.join(texts, (F.col("h") == F.col("text_hash")) & F.col("d").eqNullSafe(F.col("doc_id")))
     star = components(links(members, k)).select(F.col("src").alias("vertex"), F.col("dst").alias("root"))
     labelled = found.join(star, "vertex", "left").select("key", "least", F.coalesce("root", "vertex").alias("root"))
