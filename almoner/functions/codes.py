@@ -18,8 +18,10 @@ def pad_code(code: Column, width: int = 2) -> Column:
 
 
 def padded_ein(ein: Column) -> Column:
-    """Nine-digit EIN text from a number or an unpadded string."""
-    return pad_code(F.trim(ein.cast("string")), 9)
+    """Nine-digit EIN text from a number or text with or without separators;
+    NULL for anything that hasn't one to nine digits."""
+    digits = F.regexp_replace(ein.cast("string"), "[^0-9]", "")
+    return F.when(F.length(digits).between(1, 9), F.lpad(digits, 9, "0"))
 
 
 def ein2(ein: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from almoner.functions.codes import literal_map
@@ -11,10 +11,6 @@ from almoner.operators.joins import lookup_join
 
 # --- fixed values -------------------------------------------------------------
 GEOGRAPHIES = ("msa", "county", "tract")
-PANEL_YEARS = (
-    1990, 2000, 2007, 2008, 2009, 2010, 2011, 2012,
-    2013, 2014, 2015, 2016, 2017, 2018, 2019,
-)
 TOTALS = ["total_population", "housing_units", "occupied", "vacant", "renter_occ"]
 PERCENTAGES = [
     "white_perc", "black_perc", "asian_perc", "hawaiian_perc",
@@ -44,14 +40,16 @@ def census_data(
     panel = panels[geo]
     if years is not None:
         panel = panel.where(F.col("year").isin(*years))
-    if format == "long":
-        return panel
-    return widen(panel, list(years or PANEL_YEARS))
+    return panel if format == "long" else widen(panel, years)
 
 
-def widen(panel: DataFrame, years: list[int]) -> DataFrame:
-    """One row per ``geoid``, one column per variable and year. The year list is
-    given, so no extra job is needed to find it."""
+def widen(panel: DataFrame, years: list[int] | None = None) -> DataFrame:
+    """One row per ``geoid``, one column per variable and year: the years given,
+    or else every year the panel has."""
+    if years is None:
+        years = sorted(r[0] for r in panel.select("year").dropna().distinct().collect())
+    if not years:
+        return panel.select("geoid").distinct()
     variables = [c for c in panel.columns if c not in ("geoid", "year")]
     wide = panel.groupBy("geoid").pivot("year", years).agg(
         *[F.first(v, ignorenulls=True).alias(v) for v in variables]
@@ -74,12 +72,13 @@ def adjust_inflation(panel: DataFrame, factors: dict[int, float], columns: list[
 
 def apportion(panel: DataFrame, weights: DataFrame, columns: list[str]) -> DataFrame:
     """Counts of old areas moved onto the reference areas. ``weights`` has
-    ``geoid, new_geoid, weight``; the weights of one old area add up to 1."""
+    ``geoid, new_geoid, weight``; the weights of one old area add up to 1. What
+    lies in areas without weights is kept under a NULL area."""
     old = panel.groupBy("geoid", "year").agg(*[F.sum(c).alias(c) for c in columns])
     return (
-        old.join(weights, "geoid")
+        old.join(weights, "geoid", "left")
         .groupBy(F.col("new_geoid").alias("geoid"), "year")
-        .agg(*[F.sum(F.col(c) * F.col("weight")).alias(c) for c in columns])
+        .agg(*[F.sum(F.col(c) * F.coalesce("weight", F.lit(1.0))).alias(c) for c in columns])
     )
 
 
@@ -87,21 +86,34 @@ def roll_up(
     panel: DataFrame,
     crosswalk: DataFrame,
     level: str,
-    totals: list[str],
-    percentages: list[str],
+    totals: list[str] | None = None,
+    percentages: list[str] | None = None,
+    medians: list[str] | None = None,
     weight: str = "total_population",
 ) -> DataFrame:
-    """Aggregate the panel up to a larger geography: totals are added,
-    percentages are means weighted by population."""
+    """Aggregate the panel up to a larger geography; by default every variable
+    the panel has, each by its own rule.
+
+    Totals are added. Percentages are means weighted by population over the areas
+    where they are known. A median can't be had from the medians of parts, so it
+    is NULL. Areas the crosswalk lacks are kept under a NULL area.
+    """
+    present = set(panel.columns)
+    totals = [c for c in TOTALS if c in present] if totals is None else totals
+    percentages = [c for c in PERCENTAGES if c in present] if percentages is None else percentages
+    medians = [c for c in MEDIANS if c in present] if medians is None else medians
+
+    def mean(c: str) -> Column:
+        known = F.when(F.col(c).isNotNull(), F.col(weight))
+        return F.try_divide(F.sum(F.col(c) * known), F.sum(known))
+
     return (
-        panel.join(crosswalk.select("geoid", level), "geoid")
+        panel.join(crosswalk.select("geoid", level), "geoid", "left")
         .groupBy(level, "year")
         .agg(
             *[F.sum(c).alias(c) for c in totals],
-            *[
-                F.try_divide(F.sum(F.col(c) * F.col(weight)), F.sum(weight)).alias(c)
-                for c in percentages
-            ],
+            *[mean(c).alias(c) for c in percentages],
+            *[F.lit(None).cast("double").alias(c) for c in medians],
         )
     )
 
@@ -140,9 +152,22 @@ def combined_areas(areas: DataFrame) -> DataFrame:
     )
 
 
-def unattached_areas(areas: DataFrame, combined: DataFrame) -> DataFrame:
+def unattached_areas(areas: DataFrame) -> DataFrame:
     """Areas that belong to no combined area."""
-    return areas.join(combined.select("csa"), "csa", "left_anti")
+    return areas.where(F.col("csa").isNull())
+
+
+def area_summary(areas: DataFrame) -> DataFrame:
+    """Combined areas and the areas that belong to none, told apart by ``kind``,
+    in one pass."""
+    loose = F.col("csa").isNull()
+    return (
+        areas.groupBy(
+            F.when(loose, "unattached").otherwise("combined").alias("kind"),
+            F.when(loose, F.col("geoid")).otherwise(F.col("csa")).alias("id"),
+        )
+        .agg(F.count(F.lit(1)).alias("n_areas"), F.sum("population").alias("population"))
+    )
 
 
 def append_census(

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from almoner.fixed.columns import UNIFIED_SCHEMA
 from almoner.fixed.crosswalk import SQL_TYPES, COLUMN_NAMES, legacy_names
-from almoner.functions.codes import pad_code
+from almoner.functions.codes import pad_code, padded_ein
 
 # harmonized name -> name in the unified table, where the two differ
 UNIFIED_NAMES = {
@@ -28,6 +28,10 @@ UNIFIED_NAMES = {
     "BMF_ADDR_ZIP": "F990_ORG_ADDR_ZIP",
 }
 
+# codes that aren't numbers: activity codes begin with zeros that count, and one
+# subsection is the text CO
+TEXT_CODES = ("BMF_ACTIVITY_CODE", "BMF_SUBSECTION_CODE")
+
 _HARMONIZED = list(legacy_names())
 _DECLARED = {new: SQL_TYPES[old] for old, new in COLUMN_NAMES if old in SQL_TYPES}
 
@@ -70,9 +74,11 @@ def _typed(name: str) -> Column:
     if declared == "VARCHAR":
         return text
     if name == "F990_ORG_EIN":
-        return pad_code(text, 9)
+        return padded_ein(text)
     if "_TOTAL_" in name:
         return text.try_cast("double")
+    if name in TEXT_CODES:
+        return text
     if name.startswith("BMF_") and name.endswith("_CODE"):
         return text.try_cast("int")
     return text
@@ -82,7 +88,8 @@ def cast_columns(df: DataFrame) -> DataFrame:
     """One type per harmonized column; values that do not fit become NULL.
 
     Declared ``CHAR(n)`` columns are codes padded to ``n`` digits, other
-    ``BMF_..._CODE`` columns are integers, totals are doubles, the rest is text.
+    ``BMF_..._CODE`` columns are integers unless listed as text, totals are
+    doubles, the rest is text. ``lost_values`` counts what did not fit.
     """
     known = set(_HARMONIZED)
     return df.select(
@@ -90,6 +97,18 @@ def cast_columns(df: DataFrame) -> DataFrame:
     )
 
 
+def lost_values(df: DataFrame) -> DataFrame:
+    """Per renamed column the values ``cast_columns`` turns into NULL: rows
+    ``(column, n)``, columns without loss left out."""
+    known = set(_HARMONIZED)
+    names = [c for c in df.columns if c in known]
+    lost = [F.count_if((F.trim(F.col(c).cast("string")) != "") & _typed(c).isNull()).alias(c) for c in names]
+    if not names:
+        return df.sparkSession.createDataFrame([], "column string, n long")
+    wide = df.agg(*lost)
+    return wide.unpivot([], names, "column", "n").where("n > 0")
+
+
 def harmonize(df: DataFrame) -> DataFrame:
     """Rename, drop what is unknown, cast."""
     return cast_columns(drop_unknown(rename_columns(df)))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from almoner.session import written
+
 
 def lookup_join(
     facts: DataFrame,
@@ -25,14 +27,16 @@ def lookup_join(
 
     Key sizes are estimated from every ``look_at``-th row, chosen by hash and so
     the same ones each time. The estimate decides only how rows are spread:
-    every row is joined, and a misjudged key changes no result.
+    every row is joined, and a misjudged key changes no result. The hot keys are
+    stored, so that the facts are read twice: once for their keys, once to join.
     """
     looked_at = facts.where(F.pmod(F.xxhash64(F.lit("size"), F.col(spread_by)), F.lit(look_at)) == 0)
-    sizes = looked_at.dropna(subset=on).groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
+    sizes = written(looked_at.dropna(subset=on).groupBy(*on).agg(F.count(F.lit(1)).alias("_n")), "key-sizes")
     unit = sizes.agg((F.sum("_n") / hot_keys).alias("_unit")).scalar()
     hot = sizes.where(F.col("_n") > unit).select(
         *on, F.ceil(F.col("_n") / unit).cast("int").alias("_parts")
     )
+    hot = written(hot.coalesce(1), "hot-keys")
 
     null_key = F.lit(False)
     for key in on:

@@ -108,18 +108,21 @@ def formatted(df: DataFrame, column: str, decimals: int = 0) -> DataFrame:
 
 
 def crosstab(df: DataFrame, rows: str, columns: str, values: list, with_missing: bool = True) -> DataFrame:
-    """Two-way counts in long-known columns: one output column per listed value,
-    zeros filled in. With ``with_missing``, NULL is a row and a column of its
-    own; without it, rows with a NULL on either side are left out."""
-    pair = df.select(F.col(rows).cast("string").alias("value"), F.col(columns).cast("string").alias("other"))
+    """Two-way counts: one output column per listed value, ``n_other`` for all
+    values that aren't listed, zeros filled in. With ``with_missing``, NULL is a
+    row (with NULL as its value) and a column ``n_missing`` of its own; without
+    it, rows with a NULL on either side are left out. Either way the counts of a
+    row add up to its number of records."""
     names = [str(v) for v in values]
-    if with_missing:
-        pair = pair.na.fill(MISSING)
-        names = [*names, MISSING]
-    else:
+    other = F.col("other")
+    pair = df.select(F.col(rows).cast("string").alias("value"), F.col(columns).cast("string").alias("other"))
+    if not with_missing:
         pair = pair.dropna()
-    wide = pair.groupBy("value").pivot("other", names).count().na.fill(0)
-    return wide.select("value", *[F.col(f"`{v}`").alias(f"n_{v}") for v in names])
+    counts = [F.count_if(other == v).alias(f"n_{v}") for v in names]
+    counts.append(F.count_if(other.isNotNull() & ~other.isin(names)).alias("n_other"))
+    if with_missing:
+        counts.append(F.count_if(other.isNull()).alias("n_missing"))
+    return pair.groupBy("value").agg(*counts)
 
 
 def agreement(df: DataFrame, left: str, right: str) -> DataFrame:

@@ -81,19 +81,27 @@ def recent_financials(
     return joined.withColumns(updated).drop(*RECENT)
 
 
-def upsert(existing: DataFrame, update: DataFrame, key: str = "EIN") -> DataFrame:
-    """Existing organizations with the values of a new release laid over them,
-    plus the organizations only the new release has. A NULL in the release does
-    not erase a known value. Both sides hold one row per key."""
+def upsert(
+    existing: DataFrame, update: DataFrame, key: str = "EIN", vintage: str = "VINTAGE"
+) -> DataFrame:
+    """Existing organizations with the values of a release laid over them, plus
+    the organizations only the release has. Of two records the known values of
+    the newer one win, the release's if they are of one age or no ages are
+    given; a NULL does not erase a known value. One row per key on both sides."""
     names = existing.columns + [c for c in update.columns if c not in existing.columns]
     old, new = set(existing.columns), set(update.columns)
     joined = existing.alias("old").join(update.alias("new"), key, "full")
+    late = F.lit(False)
+    if vintage in old and vintage in new:
+        late = F.coalesce(F.col(f"new.{vintage}") < F.col(f"old.{vintage}"), F.lit(False))
 
     def value(name: str) -> Column:
         if name == key:
             return F.col(key)
         sides = [F.col(f"{s}.{name}") for s, has in (("new", new), ("old", old)) if name in has]
-        return F.coalesce(*sides).alias(name)
+        if len(sides) == 1:
+            return sides[0].alias(name)
+        return F.when(late, F.coalesce(*reversed(sides))).otherwise(F.coalesce(*sides)).alias(name)
 
     return joined.select(*[value(c) for c in names])
 

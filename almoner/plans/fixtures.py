@@ -16,7 +16,7 @@ from almoner.functions.codes import padded_ein
 # --- fixed values: code cycles --------------------------------------------------
 SUBSECTION = [3, 3, 3, 92, 4, 50, 91, None, 6, 7, 13, 80, 82, 2]
 CLASSIFICATION = [1, 2, 12, 71, None, 9, 123, 3, 11, 0]
-PF_FILING = [0, 1, None, 2, 3, 0, 4]
+PF_FILING = [0, 1, None, 2, 3, 0, 4, 9]
 FILING_REQ = [
     None, 10, 20, 1, 0, 2, 6, 60, 3, 11, 30, 13, 130, 140, 70, 21, 7, 40, 14, 4, 888,
 ]
@@ -202,7 +202,7 @@ def filings(spark: SparkSession, folder: str) -> DataFrame:
 
 def block_crosswalk(spark: SparkSession, folder: str) -> DataFrame:
     """One row per census block with an urban organization; the other blocks
-    are not in the crosswalk."""
+    are not in the crosswalk, as blocks of later censuses would be."""
     block = F.col("CENSUS_BLOCK_FIPS")
     return (
         registry(spark, folder)
@@ -249,23 +249,24 @@ def census_panel(spark: SparkSession, folder: str) -> DataFrame:
             "year",
             population.alias("total_population"),
             (population * 2).alias("housing_units"),
-            ((nation * 7 + F.col("year")) % 100).cast("double").alias("poverty_perc"),
+            F.when(nation % 4 != 1, (nation * 7 + F.col("year")) % 100).cast("double").alias("poverty_perc"),
             (50000 + nation * 1000).cast("double").alias("med_household_income_adj"),
         )
     )
 
 
 def area_crosswalk(spark: SparkSession, folder: str) -> DataFrame:
-    """Nation -> region, standing for tract -> larger area."""
-    return table(spark, folder, "nation").select(
+    """Nation -> region, standing for tract -> larger area. One area is missing."""
+    return table(spark, folder, "nation").where("n_nationkey <> 24").select(
         F.col("n_nationkey").cast("string").alias("geoid"),
         F.col("n_regionkey").cast("string").alias("region"),
     )
 
 
 def apportionment_weights(spark: SparkSession, folder: str) -> DataFrame:
-    """Each area keeps three quarters and passes one quarter to the next one."""
-    nation = table(spark, folder, "nation").select(F.col("n_nationkey").alias("k"))
+    """Each area keeps three quarters and passes one quarter to the next one; one
+    area has no weights."""
+    nation = table(spark, folder, "nation").where("n_nationkey <> 23").select(F.col("n_nationkey").alias("k"))
     parts = F.array(
         F.struct(F.col("k").alias("new"), F.lit(0.75).alias("weight")),
         F.struct(((F.col("k") + 1) % 25).alias("new"), F.lit(0.25).alias("weight")),

@@ -267,6 +267,18 @@ def _latest(where: str = "TRUE") -> str:
     )
 
 
+_BUILT = (
+    "SELECT EIN, max(VINTAGE) AS VINTAGE, "
+    + ", ".join(
+        f"arg_max({c}, VINTAGE * 10000000000 + RECORD_ID) FILTER (WHERE {c} IS NOT NULL) AS {c}"
+        for c in ("F990_TOTAL_ASSETS", "NTEE_IRS", "BMF_SUBSECTION_CODE", "BMF_GROUP_EXEMPT_NUM")
+    )
+    + """, min(VINTAGE) AS ORG_YEAR_FIRST, max(VINTAGE) AS ORG_YEAR_LAST,
+      CAST(count(DISTINCT VINTAGE) AS INTEGER) AS ORG_YEAR_COUNT,
+      max(VINTAGE) = (SELECT max(VINTAGE) FROM releases) AS ACTIVE
+    FROM releases GROUP BY EIN"""
+)
+
 _ORG = "lpad(CAST(o_custkey + 10000001 AS VARCHAR), 9, '0')"
 
 _FILINGS = f"""filings AS (
@@ -281,15 +293,16 @@ _FILINGS = f"""filings AS (
 _PANEL = """panel AS (
   SELECT CAST(c_nationkey AS VARCHAR) AS geoid, CAST(year(o_orderdate) AS INTEGER) AS year, c_nationkey AS k,
     CAST(count(*) AS DOUBLE) AS total_population, CAST(count(*) * 2 AS DOUBLE) AS housing_units,
-    CAST((c_nationkey * 7 + year(o_orderdate)) % 100 AS DOUBLE) AS poverty_perc,
+    CASE WHEN c_nationkey % 4 <> 1 THEN CAST((c_nationkey * 7 + year(o_orderdate)) % 100 AS DOUBLE) END AS poverty_perc,
     CAST(50000 + c_nationkey * 1000 AS DOUBLE) AS med_household_income_adj
   FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY c_nationkey, year(o_orderdate))"""
 
 _REGIONS = """regions AS (
   SELECT CAST(n_regionkey AS VARCHAR) AS region, year,
     sum(total_population) AS total_population, sum(housing_units) AS housing_units,
-    sum(poverty_perc * total_population) / sum(total_population) AS poverty_perc
-  FROM panel JOIN nation ON n_nationkey = k GROUP BY 1, 2)"""
+    sum(poverty_perc * total_population) / sum(total_population) FILTER (WHERE poverty_perc IS NOT NULL) AS poverty_perc,
+    CAST(NULL AS DOUBLE) AS med_household_income_adj
+  FROM panel LEFT JOIN nation ON n_nationkey = k AND n_nationkey <> 24 GROUP BY 1, 2)"""
 
 _AREAS = """areas AS (
   SELECT CAST(n_nationkey AS VARCHAR) AS geoid, CAST(count(*) * 100 AS BIGINT) AS population,
@@ -413,7 +426,7 @@ ORACLE: dict[str, str] = {
     "src_multiformat": _plain(
         f"""SELECT CASE WHEN older THEN 'older.dat' ELSE 'newer.csv' END AS source_file, EIN AS F990_ORG_EIN,
           CAST(VINTAGE AS VARCHAR) AS VINTAGE, amount_text AS F990_TOTAL_ASSETS, BMF_NTEE, BMF_SUBSECTION_CODE,
-          CASE WHEN NOT older OR o_orderkey % 2 = 0 THEN group_number END AS BMF_GROUP_EXEMPT_NUM, {_META}
+          {_GROUP_TEXT} AS BMF_GROUP_EXEMPT_NUM, {_META}
         FROM raw""",
         _RAW,
     ),
@@ -493,9 +506,11 @@ ORACLE: dict[str, str] = {
         + " FROM older_table o FULL JOIN newer_table n ON n.EIN = o.EIN",
         _RAW,
         _RELEASES,
-        f"older_table AS ({_latest(f'VINTAGE < {q.NEWEST_RELEASE}')})",
-        f"newer_table AS ({_latest(f'VINTAGE = {q.NEWEST_RELEASE}')})",
+        f"older_table AS ({_latest('VINTAGE < (SELECT max(VINTAGE) FROM releases)')})",
+        f"newer_table AS ({_latest('VINTAGE = (SELECT max(VINTAGE) FROM releases)')})",
     ),
+    "build_unified": _plain(_BUILT, _RAW, _RELEASES),
+    "unified_refresh": _plain(_BUILT, _RAW, _RELEASES),
     "append_fips": _with(
         """SELECT u.EIN, u.EIN2, u.CENSUS_BLOCK_FIPS,
           CASE WHEN b.block IS NOT NULL THEN substr(b.block, 1, 11) END AS TRACT_FIPS,
@@ -577,19 +592,21 @@ ORACLE: dict[str, str] = {
         SELECT 'BMF_ASSET_LEVEL', d.ord, l.BMF_ASSET_LEVEL, count(*) FROM labelled l
           LEFT JOIN dictionary d ON d.variable = 'BMF_ASSET_LEVEL' AND d.label = l.BMF_ASSET_LEVEL GROUP BY ALL"""
     ),
-    "freq_format": _with(
-        """SELECT ORG_TYPE_501C AS value, format('{:,}', count(*) * 1000) AS n,
-          format('{:.3f}', round(count(*) / CAST((SELECT count(*) FROM labelled) AS DOUBLE), 3)) AS share
-        FROM labelled GROUP BY 1"""
-    ),
+    "freq_format": f"""
+        WITH t AS (SELECT '501C_' || lpad(CAST({_pick(fx.SUBSECTION, "o_orderkey")} AS VARCHAR), 2, '0') AS value FROM orders)
+        SELECT value, format('{{:,}}', count(*)) AS n,
+          format('{{:.3f}}', round(count(*) / CAST((SELECT count(*) FROM t) AS DOUBLE), 3)) AS share
+        FROM t GROUP BY 1""",
     "crosstab_with_na": _with(
-        "SELECT coalesce(ORG_TYPE_501C, 'NA') AS value, "
+        "SELECT ORG_TYPE_501C AS value, "
         + ", ".join(f"count(*) FILTER (WHERE BMF_PF_FILING_REQ_CODE = {v}) AS n_{v}" for v in range(5))
-        + ", count(*) FILTER (WHERE BMF_PF_FILING_REQ_CODE IS NULL) AS \"n_NA\" FROM input GROUP BY 1"
+        + ", count(*) FILTER (WHERE BMF_PF_FILING_REQ_CODE NOT BETWEEN 0 AND 4) AS n_other"
+        + ", count(*) FILTER (WHERE BMF_PF_FILING_REQ_CODE IS NULL) AS n_missing FROM input GROUP BY 1"
     ),
     "crosstab_no_na": _with(
         "SELECT substr(NTEE_IRS, 1, 1) AS value, "
         + ", ".join(f"count(*) FILTER (WHERE substr(NTEE_NCCS, 1, 1) = '{c}') AS \"n_{c}\"" for c in q.LETTERS)
+        + ", count(*) FILTER (WHERE substr(NTEE_NCCS, 1, 1) NOT BETWEEN 'A' AND 'Z') AS n_other"
         + " FROM registry WHERE NTEE_IRS IS NOT NULL AND NTEE_NCCS IS NOT NULL GROUP BY 1"
     ),
     "ntee_major": _with("SELECT EIN, substr(NTEE_IRS, 1, 1) AS first_letter, substr(NTEE_NCCS, 1, 1) AS second_letter FROM registry"),
@@ -672,20 +689,22 @@ ORACLE: dict[str, str] = {
     "census_long": _plain(
         """SELECT geoid, year, total_population, housing_units, poverty_perc, med_household_income_adj, 'county' AS geo
         FROM panel
-        UNION ALL SELECT region, year, total_population, housing_units, poverty_perc, NULL, 'msa' FROM regions""",
+        UNION ALL SELECT region, year, total_population, housing_units, poverty_perc, med_household_income_adj, 'msa' FROM regions""",
         _PANEL,
         _REGIONS,
     ),
     "census_wide": _plain(
         "SELECT geoid, "
         + _years("max(total_population) FILTER (WHERE year = {y}) AS total_population_{y}")
-        + ", "
-        + _years("max(med_household_income_adj) FILTER (WHERE year = {y}) AS med_household_income_adj_{y}")
+        + "".join(
+            ", " + _years(f"max({c}) FILTER (WHERE year = {{y}}) AS {c}_{{y}}")
+            for c in ("housing_units", "poverty_perc", "med_household_income_adj")
+        )
         + " FROM panel GROUP BY geoid",
         _PANEL,
     ),
     "census_inflation": _plain(
-        f"""SELECT geoid, year, CASE WHEN year <> {q.YEARS[0]}
+        f"""SELECT geoid, year, total_population, housing_units, poverty_perc, CASE WHEN year BETWEEN 1996 AND 2001
           THEN med_household_income_adj * (1 + (2021 - year) / CAST(32 AS DOUBLE)) END AS med_household_income_adj
         FROM panel""",
         _PANEL,
@@ -693,8 +712,9 @@ ORACLE: dict[str, str] = {
     "census_apportion": _plain(
         """SELECT CAST(new AS VARCHAR) AS geoid, year, sum(total_population * weight) AS total_population,
           sum(housing_units * weight) AS housing_units
-        FROM (SELECT k AS new, year, total_population, housing_units, 0.75::DOUBLE AS weight FROM panel
-              UNION ALL SELECT (k + 1) % 25, year, total_population, housing_units, 0.25::DOUBLE FROM panel)
+        FROM (SELECT k AS new, year, total_population, housing_units, 0.75::DOUBLE AS weight FROM panel WHERE k <> 23
+              UNION ALL SELECT (k + 1) % 25, year, total_population, housing_units, 0.25::DOUBLE FROM panel WHERE k <> 23
+              UNION ALL SELECT NULL, year, total_population, housing_units, 1.0::DOUBLE FROM panel WHERE k = 23)
         GROUP BY 1, 2""",
         _PANEL,
     ),
@@ -717,10 +737,10 @@ ORACLE: dict[str, str] = {
         _AREAS,
     ),
     "append_census": _plain(
-        """SELECT o_orderkey AS RECORD_ID, CAST(o_custkey % 25 AS VARCHAR) AS geoid,
+        """SELECT o_orderkey AS RECORD_ID, CAST(o_custkey % 26 AS VARCHAR) AS geoid,
           CAST(year(o_orderdate) AS INTEGER) AS year, total_population, housing_units, poverty_perc,
           med_household_income_adj
-        FROM orders LEFT JOIN panel p ON p.k = o_custkey % 25 AND p.year = year(o_orderdate) AND p.year > 1995""",
+        FROM orders LEFT JOIN panel p ON p.k = o_custkey % 26 AND p.year = year(o_orderdate)""",
         _PANEL,
     ),
     "geo_reports": _with(

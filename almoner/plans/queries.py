@@ -13,8 +13,9 @@ from almoner.fixed.columns import LABELLING_COLUMNS, UNIFIED_SCHEMA
 from almoner.functions import codes, taxonomy
 from almoner.operators import address, census, derive, harmonize, reports, unify
 from almoner.plans import fixtures as fx
+from almoner.plans import unified
 from almoner.plans.labelling import label_registry, labelling_input
-from almoner.session import scratch_path, tune
+from almoner.session import scratch_path, written
 from almoner.sources import manifest, readers, writers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,7 +25,7 @@ QUERIES: dict[str, Query] = {}
 
 def query(name: str) -> Callable[[Query], Query]:
     def register(function: Query) -> Query:
-        QUERIES[name] = lambda spark, folder: function(tune(spark), folder)
+        QUERIES[name] = function
         return function
 
     return register
@@ -81,7 +82,9 @@ def _write_releases(spark: SparkSession, folder: str) -> dict[str, str]:
     root = scratch_path(spark, "raw")
     old, new = fx.vintages(spark, folder).values()
     files = {"older.dat": f"{root}/older.dat", "newer.csv": f"{root}/newer.csv"}
-    old.drop("GROUP").write.csv(files["older.dat"], sep=" ", header=True, nullValue="NA")
+    old.write.csv(
+        files["older.dat"], sep=" ", header=True, nullValue="NA", escape='"', **writers.EXACT_TEXT
+    )
     writers.write_csv(new, files["newer.csv"])
     return files
 
@@ -349,18 +352,46 @@ def f990_recent(spark: SparkSession, folder: str) -> DataFrame:
     return unify.recent_financials(orgs, fx.filings(spark, folder))
 
 
-NEWEST_RELEASE = 2001
-
-
 @query("unified_upsert")
 def unified_upsert(spark: SparkSession, folder: str) -> DataFrame:
     """The newest release over the table built from all earlier ones."""
-    releases = _releases(spark, folder)
-    existing = unify.latest_record(releases.where(F.col("VINTAGE") < NEWEST_RELEASE))
-    update = unify.latest_record(releases.where(F.col("VINTAGE") == NEWEST_RELEASE))
+    path = scratch_path(spark, "releases")
+    _releases(spark, folder).write.partitionBy("VINTAGE").parquet(path)
+    releases = spark.read.parquet(path)
+    newest = releases.agg(F.max("VINTAGE").alias("newest")).scalar()
+    existing = unify.latest_record(releases.where(F.col("VINTAGE") < newest))
+    update = unify.latest_record(releases.where(F.col("VINTAGE") == newest))
     return unify.upsert(existing, update)
 
 
+def _unified_columns(df: DataFrame) -> DataFrame:
+    return df.select(
+        "EIN", "VINTAGE", "F990_TOTAL_ASSETS", "NTEE_IRS", "BMF_SUBSECTION_CODE", "BMF_GROUP_EXEMPT_NUM",
+        "ORG_YEAR_FIRST", "ORG_YEAR_LAST", "ORG_YEAR_COUNT", "ACTIVE",
+    )
+
+
+RECORD = "cast(NCCS_RANDOM_NUMBER AS long)"
+
+
+@query("build_unified")
+def build_unified(spark: SparkSession, folder: str) -> DataFrame:
+    """Every organization from all raw releases at once."""
+    return _unified_columns(unified.build_unified(fx.vintages(spark, folder), tie=RECORD))
+
+
+@query("unified_refresh")
+def unified_refresh(spark: SparkSession, folder: str) -> DataFrame:
+    """The same from three deliveries of releases that arrive out of order."""
+    state = None
+    for part in (1, 2, 0):
+        for raw in fx.vintages(spark, folder).values():
+            delivery = raw.where(F.col("VINTAGE") % 3 == part)
+            update = unified.record_state(unified.named_release(delivery), tie=RECORD)
+            state = update if state is None else unified.merged_states(state, update)
+    return _unified_columns(unified.current(written(state, "state")))
+
+
 @query("append_fips")
 def append_fips(spark: SparkSession, folder: str) -> DataFrame:
     orgs = _unified(spark, folder).select("EIN", "EIN2", "CENSUS_BLOCK_FIPS")
@@ -556,9 +587,8 @@ def freq_alpha(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("freq_format")
 def freq_format(spark: SparkSession, folder: str) -> DataFrame:
-    shares = reports.proportions(_labelled(spark, folder), "ORG_TYPE_501C")
-    thousands = shares.withColumn("n", F.col("n") * 1000)
-    return thousands.transform(reports.formatted, "n").transform(reports.formatted, "share", 3)
+    shares = reports.proportions(label_registry(fx.large_registry(spark, folder).transform(unify.with_ein2).transform(derive.with_nteev2)), "ORG_TYPE_501C")
+    return shares.transform(reports.formatted, "n").transform(reports.formatted, "share", 3)
 
 
 @query("crosstab_with_na")
@@ -732,8 +762,7 @@ YEARS = [1995, 1996, 1997, 1998, 1999, 2000, 2001]
 def _panels(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     county = fx.census_panel(spark, folder)
     msa = census.roll_up(
-        county, fx.area_crosswalk(spark, folder), "region",
-        ["total_population", "housing_units"], ["poverty_perc"],
+        county, fx.area_crosswalk(spark, folder), "region"
     ).withColumnRenamed("region", "geoid")
     return {"county": county, "msa": msa}
 
@@ -741,15 +770,14 @@ def _panels(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
 @query("census_long")
 def census_long(spark: SparkSession, folder: str) -> DataFrame:
     panels = _panels(spark, folder)
-    one = census.census_data(panels, "county", years=YEARS).withColumn("geo", F.lit("county"))
+    one = census.census_data(panels, "county").withColumn("geo", F.lit("county"))
     other = census.census_data(panels, "msa").withColumn("geo", F.lit("msa"))
     return one.unionByName(other, allowMissingColumns=True)
 
 
 @query("census_wide")
 def census_wide(spark: SparkSession, folder: str) -> DataFrame:
-    panels = {"county": fx.census_panel(spark, folder).drop("housing_units", "poverty_perc")}
-    return census.census_data(panels, "county", years=YEARS, format="wide")
+    return census.census_data({"county": fx.census_panel(spark, folder)}, "county", format="wide")
 
 
 INFLATION = {year: 1 + (2021 - year) / 32 for year in YEARS[1:]}
@@ -757,7 +785,7 @@ INFLATION = {year: 1 + (2021 - year) / 32 for year in YEARS[1:]}
 
 @query("census_inflation")
 def census_inflation(spark: SparkSession, folder: str) -> DataFrame:
-    panel = fx.census_panel(spark, folder).select("geoid", "year", "med_household_income_adj")
+    panel = fx.census_panel(spark, folder)
     return census.adjust_inflation(panel, INFLATION, ["med_household_income_adj"])
 
 
@@ -776,8 +804,6 @@ def geo_rollup(spark: SparkSession, folder: str) -> DataFrame:
         fx.census_panel(spark, folder),
         fx.area_crosswalk(spark, folder),
         "region",
-        ["total_population", "housing_units"],
-        ["poverty_perc"],
     )
 
 
@@ -812,33 +838,22 @@ def cbsa_union(spark: SparkSession, folder: str) -> DataFrame:
 @query("csa_rollup")
 def csa_rollup(spark: SparkSession, folder: str) -> DataFrame:
     """Combined areas, and the areas that belong to none, told apart by ``kind``."""
-    areas = fx.statistical_areas(spark, folder)
-    combined = census.combined_areas(areas)
-    loose = census.unattached_areas(areas, combined)
-    return combined.select(
-        F.lit("combined").alias("kind"), F.col("csa").alias("id"), "n_areas", "population"
-    ).unionByName(
-        loose.select(
-            F.lit("unattached").alias("kind"), F.col("geoid").alias("id"),
-            F.lit(1).cast("long").alias("n_areas"), "population",
-        )
-    )
+    return census.area_summary(fx.statistical_areas(spark, folder))
 
 
 @query("append_census")
 def append_census(spark: SparkSession, folder: str) -> DataFrame:
-    """Every appearance of an organization with the census values of its nation
-    in that year; the earliest year has no census values."""
+    """Every appearance of an organization with the census values of the area its
+    key is assigned to, in that year; every 26th area is in no panel."""
     orders = fx.table(spark, folder, "orders").select(
         "o_orderkey", "o_custkey", F.year("o_orderdate").alias("year")
     )
     orgs = orders.select(
         F.col("o_orderkey").alias("RECORD_ID"),
-        (F.col("o_custkey") % 25).cast("string").alias("geoid"),
+        (F.col("o_custkey") % 26).cast("string").alias("geoid"),
         "year",
     )
-    panel = fx.census_panel(spark, folder).where(F.col("year") > YEARS[0])
-    return census.append_census(orgs, panel, ["geoid", "year"], key="RECORD_ID")
+    return census.append_census(orgs, fx.census_panel(spark, folder), ["geoid", "year"], key="RECORD_ID")
 
 
 @query("geo_reports")

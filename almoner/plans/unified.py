@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,21 +33,56 @@ def prepare_release(raw: DataFrame) -> DataFrame:
     return newest_record(named_release(raw))
 
 
-def build_unified(releases: dict[int, DataFrame]) -> DataFrame:
-    """Every organization any release has, with its newest record, the span of
-    its appearances and whether it is in the newest release.
+YEARS = "ORG_YEARS"
+
 
-    The newest record and the span both end up partitioned by EIN, so joining
-    them shuffles nothing further.
+def record_state(named: DataFrame, tie: str | None = None) -> DataFrame:
+    """Per organization, for every column its newest known value with its age, and
+    the releases it appears in.
+
+    Ages are release, tax period and a tie-break (a hash of the record by
+    default), so states can be merged in any order and any number of times.
     """
+    period = [c for c in ("F990_TAX_PERIOD_END_DATE",) if c in named.columns]
+    last = F.expr(tie) if tie else F.xxhash64(*named.columns)
+    age = [F.col("VINTAGE").alias("vintage"), (F.col(period[0]) if period else F.lit(None)).cast("string").alias("period"), last.alias("tie")]
+    values = [c for c in named.columns if c not in ("EIN", "VINTAGE")]
+    newest = [F.max(F.when(F.col(c).isNotNull(), F.struct(*age, F.col(c).alias("value")))).alias(c) for c in values]
+    return named.groupBy("EIN").agg(*newest, F.array_sort(F.collect_set("VINTAGE")).alias(YEARS))
+
+
+def merged_states(*states: DataFrame) -> DataFrame:
+    """One state out of several."""
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), states)
+    values = [c for c in stacked.columns if c not in ("EIN", YEARS)]
+    years = F.array_sort(F.array_distinct(F.flatten(F.collect_list(YEARS))))
+    return stacked.groupBy("EIN").agg(*[F.max(c).alias(c) for c in values], years.alias(YEARS))
+
+
+def current(state: DataFrame) -> DataFrame:
+    """The unified table a stored state stands for."""
+    values = [c for c in state.columns if c not in ("EIN", YEARS)]
+    newest = state.agg(F.max(F.array_max(YEARS)).alias("newest")).scalar()
+    last = F.array_max(YEARS)
+    return state.select(
+        "EIN",
+        last.alias("VINTAGE"),
+        *[F.col(f"{c}.value").alias(c) for c in values],
+        F.array_min(YEARS).alias("ORG_YEAR_FIRST"),
+        last.alias("ORG_YEAR_LAST"),
+        F.size(YEARS).alias("ORG_YEAR_COUNT"),
+        (last == newest).alias("ACTIVE"),
+    )
+
+
+def build_unified(releases: dict[int, DataFrame], tie: str | None = None) -> DataFrame:
+    """Every organization any release has: the newest known value of each column,
+    the span of its appearances and whether it is in the newest release. Releases
+    are read once, for the state, which is stored."""
     stacked = harmonize.union_vintages(
         {year: named_release(harmonize.with_vintage(raw, year)) for year, raw in releases.items()}
     )
-    span = unify.year_span(stacked, year="VINTAGE")
-    newest = stacked.agg(F.max("VINTAGE").alias("newest")).scalar()
-    return newest_record(stacked).join(span, "EIN").withColumn(
-        "ACTIVE", F.col("ORG_YEAR_LAST") == newest
-    )
+    return current(written(record_state(stacked, tie), "state"))
 
 
 def complete(unified: DataFrame) -> DataFrame:

@@ -35,13 +35,6 @@ def build_session(
     return builder.getOrCreate()
 
 
-def tune(spark: SparkSession) -> SparkSession:
-    """Give a session made elsewhere the one setting wide projections depend on."""
-    key = "spark.sql.codegen.hugeMethodLimit"
-    spark.conf.set(key, SETTINGS[key])
-    return spark
-
-
 @functools.cache
 def _local_root() -> str:
     return tempfile.mkdtemp(prefix="almoner-")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from almoner.fixed.crosswalk import COLUMN_NAMES
-from almoner.plans.unified import prepare_release, update_unified
+from almoner.plans.unified import current, merged_states, named_release, record_state
 
 # a published release: any of the legacy columns as text, and its release
 RAW_SCHEMA = T.StructType(
@@ -30,20 +30,27 @@ def version_path(table: str, version: int) -> str:
     return f"{table}/version={version}"
 
 
+def state_path(table: str, version: int) -> str:
+    return f"{table}/state={version}"
+
+
 def refresh(spark: SparkSession, landing: str, table: str, checkpoint: str) -> None:
     """Take in every release published since the last call, then stop.
 
-    Each batch reads the version the batch before it wrote and writes its own,
-    so a batch that is run again after a failure replaces its own output and
-    nothing else. The newest version is the current table.
+    Each batch merges its releases with the state the batch before it wrote and
+    writes its own state and table, so a batch that is run again after a failure
+    replaces its own output and nothing else. The newest version is the current
+    table; states carry ages, so late releases may come in any order. Versions
+    before the newest two are not read again and may be deleted.
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        release = prepare_release(batch)
+        reader, own = batch.sparkSession.read, state_path(table, batch_id)
+        state = record_state(named_release(batch))
         if batch_id > 0:
-            existing = batch.sparkSession.read.parquet(version_path(table, batch_id - 1))
-            release = update_unified(existing, release)
-        release.write.mode("overwrite").parquet(version_path(table, batch_id))
+            state = merged_states(reader.parquet(state_path(table, batch_id - 1)), state)
+        state.write.mode("overwrite").parquet(own)
+        current(reader.parquet(own)).write.mode("overwrite").parquet(version_path(table, batch_id))
 
     (
         spark.readStream.schema(RAW_SCHEMA)

@@ -159,6 +159,23 @@ def test_upsert_keeps_known_values(spark):
     assert out == {"1": ("1", "a", 1, None), "2": ("2", "b", 5, "n"), "3": ("3", "c", 6, "n")}
 
 
+def test_a_late_release_does_not_overwrite(spark):
+    old = literal_frame(spark, [("1", 2001, "new", None)], "EIN string, VINTAGE int, name string, x int")
+    late = literal_frame(spark, [("1", 1990, "old", 5)], "EIN string, VINTAGE int, name string, x int")
+    assert values(unify.upsert(old, late), "EIN", "VINTAGE", "name", "x") == [("1", 2001, "new", 5)]
+
+
+def test_eins_are_checked(spark):
+    df = literal_frame(spark, [("12-3456789",), ("1234567890",), ("x",), (" 12 ",), (None,)], "e string")
+    assert values(df, codes.padded_ein(F.col("e"))) == ["123456789", None, None, "000000012", None]
+
+
+def test_activity_codes_keep_zeros_and_losses_are_counted(spark):
+    df = literal_frame(spark, [("029059179", "x", "7"), ("1", "2", None)], "BMF_ACTIVITY_CODE string, BMF_ASSET_CODE string, F990_ORG_EIN string")
+    assert values(harmonize.cast_columns(df), "BMF_ACTIVITY_CODE", "BMF_ASSET_CODE") == [("029059179", None), ("1", 2)]
+    assert values(harmonize.lost_values(df), "column", "n") == [("BMF_ASSET_CODE", 1)]
+
+
 def test_purpose_merge_kinds(spark):
     orgs = literal_frame(spark, [("EIN-1", 3, 1), ("EIN-2", None, 1), ("EIN-3", 3, 9)], "EIN2 string, BMF_SUBSECTION_CODE int, BMF_CLASSIFICATION_CODE int")
     side = derive.purpose_table(orgs)
@@ -185,11 +202,17 @@ def test_levels_keep_their_order_and_zeros(spark):
 
 def test_crosstab_has_na_and_zeros(spark):
     df = literal_frame(spark, [("a", 1), ("a", None), (None, 1)], "r string, c int")
-    out = {r.value: (r.n_1, r.n_2, r.n_NA) for r in reports.crosstab(df, "r", "c", [1, 2]).collect()}
-    assert out == {"a": (1, 0, 1), "NA": (1, 0, 0)}
+    out = {r.value: (r.n_1, r.n_2, r.n_other, r.n_missing) for r in reports.crosstab(df, "r", "c", [1, 2]).collect()}
+    assert out == {"a": (1, 0, 0, 1), None: (1, 0, 0, 0)}
     assert values(reports.crosstab(df, "r", "c", [1, 2], with_missing=False), "value", "n_1", "n_2") == [("a", 1, 0)]
 
 
+def test_crosstab_counts_every_row(spark):
+    df = literal_frame(spark, [("x", "1"), ("x", "9"), ("x", "NA"), ("x", None)], "r string, c string")
+    row = reports.crosstab(df, "r", "c", [1]).collect()[0]
+    assert tuple(row) == ("x", 1, 2, 1)
+
+
 def test_treemap_ties_follow_level_order(spark):
     df = literal_frame(spark, [("TRUST (2)",), ("UDC (0)",)], "ORG_CORP_FORM string")
     rows = {r.label: (r.n, r.colour_slot, r.id) for r in reports.treemap(df, "ORG_CORP_FORM").collect()}
@@ -248,6 +271,17 @@ def test_census_arguments(spark):
     assert census.census_data({"msa": panel}, "msa", [1990]).count() == 1
     with pytest.raises(ValueError):
         census.census_data({"msa": panel}, "zip")
+    later = panel.withColumn("year", F.col("year") + 21)
+    assert census.census_data({"msa": later}, "msa", format="wide").columns[1:] == ["total_population_2011", "total_population_2021"]
+    assert census.census_data({"msa": panel}, "msa", []).count() == 0
+
+
+def test_roll_up_keeps_totals_and_skips_unknown_shares(spark):
+    rows = [("a", 2000, 5.0, 10.0, 1.0), ("b", 2000, 5.0, None, 1.0), ("c", 2000, 7.0, 50.0, 1.0)]
+    panel = literal_frame(spark, rows, "geoid string, year int, total_population double, poverty_perc double, median_value_adj double")
+    crosswalk = literal_frame(spark, [("a", "x"), ("b", "x")], "geoid string, region string")
+    out = values(census.roll_up(panel, crosswalk, "region"), "region", "total_population", "poverty_perc", "median_value_adj")
+    assert set(out) == {("x", 10.0, 10.0, None), (None, 7.0, 50.0, None)}
 
 
 def test_apportionment_keeps_the_total(spark):
@@ -255,6 +289,8 @@ def test_apportionment_keeps_the_total(spark):
     weights = literal_frame(spark, [("a", "x", 0.75), ("a", "y", 0.25), ("b", "y", 1.0)], "geoid string, new_geoid string, weight double")
     out = dict(values(census.apportion(panel, weights, ["pop"]), "geoid", "pop"))
     assert out == {"x": 6.0, "y": 6.0}
+    lone = panel.unionByName(literal_frame(spark, [("c", 2000, 3.0)], "geoid string, year int, pop double"))
+    assert dict(values(census.apportion(lone, weights, ["pop"]), "geoid", "pop")) == {"x": 6.0, "y": 6.0, None: 3.0}
 
 
 def test_embedded_json(spark):

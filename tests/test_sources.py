@@ -36,10 +36,31 @@ def test_csv_text_keeps_zeros_and_reads_na(spark, tmp_path):
 def test_reader_goes_by_extension(spark):
     assert readers.reader_for("a.csv.dat") is readers.read_whitespace_table
     assert readers.reader_for("data.csv") is readers.read_csv_text
+    assert readers.reader_for("bmf.csv.gz") is readers.read_csv_text
     with pytest.raises(ValueError):
         readers.reader_for("a.xyz")
 
 
+def test_quoted_values_of_a_whitespace_table(spark, tmp_path):
+    (tmp_path / "q.dat").write_text('EIN NAME X\n1 "A  ""B""" 2\n2 "" NA\n')
+    rows = [tuple(r) for r in readers.read_whitespace_table(spark, str(tmp_path / "q.dat")).collect()]
+    assert rows == [("1", 'A  "B"', "2"), ("2", "", None)]
+
+
+def test_ingest_writes_what_can_be_read(spark, tmp_path):
+    import gzip
+
+    (tmp_path / "a.csv").write_text('x,y\n1,"p\nq"\n')
+    whole = gzip.compress(b"x,y\n" + b"".join(b"%d,%d\n" % (i, i * 7919 % 1000003) for i in range(200000)))
+    (tmp_path / "cut.csv.gz").write_bytes(whole[: len(whole) // 2])
+    files = {n: str(tmp_path / n) for n in ("a.csv", "cut.csv.gz", "none.dat", "b.xyz")}
+    log = readers.ingest_to(spark, files, str(tmp_path / "out"))
+    assert [(n, s) for n, s, _ in log] == [("a.csv", "ok"), ("cut.csv.gz", "error"), ("none.dat", "error"), ("b.xyz", "error")]
+    assert not list((tmp_path / "out" / "cut.csv").glob("part-*")) if (tmp_path / "out" / "cut.csv").exists() else True
+    whole_record = readers.read_csv_text(spark, files["a.csv"], multiline=True)
+    assert [tuple(r) for r in whole_record.collect()] == [("1", "p\nq")]
+
+
 def test_a_bad_release_does_not_stop_the_others(spark, tmp_path):
     (tmp_path / "a.csv").write_text("x\n1\n")
     (tmp_path / "empty.dat").write_text("\n")
