@@ -16,7 +16,7 @@ def test_crosswalk_with_line_breaks(spark):
     writers.write_csv(literal_frame(spark, xw.crosswalk_rows(), xw.CROSSWALK_SCHEMA).coalesce(1), path)
     back = readers.read_crosswalk(spark, path)
     assert [tuple(r) for r in back.collect()] == xw.crosswalk_rows()
-    assert back.where("DESC IS NOT NULL").count() == 2
+    assert back.where("DESC IS NOT NULL").count() == 4
 
 
 def test_whitespace_table(spark, tmp_path):
