@@ -33,10 +33,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from almoner.llm.common import fresh, numbered, ship, text_of
+from almoner.llm.common import fresh, ship, text_of
 from almoner.llm.components import components
 from almoner.llm.shingles import shingle_hashes
 from almoner.session import written
@@ -346,7 +346,8 @@ def links(members: DataFrame, k: int) -> DataFrame:
 
 
 def joined(docs: DataFrame, row: str | None = None, k: int = K, cell: int = CELL) -> DataFrame:
-    """Per document: row number, size of its set, component, and whether it is the component's first."""
+    """Per document: row number, id, hash of its text, size of its set, component,
+    and whether it is the component's first."""
     rows = sets(docs, row, k)
     found = vertices(rows)
     text = text_of(docs)
@@ -360,6 +361,7 @@ def joined(docs: DataFrame, row: str | None = None, k: int = K, cell: int = CELL
     return rows.join(by_key, "key", "left").select(
         "row",
         "doc_id",
+        "text_hash",
         "n_shingles",
         F.when(F.col("n_shingles") > 0, F.col("component.doc_id")).otherwise(F.col("doc_id")).alias("component_id"),
         (F.col("n_shingles").eqNullSafe(0) | (F.col("component.row") == F.col("row"))).alias("kept"),
@@ -367,8 +369,16 @@ def joined(docs: DataFrame, row: str | None = None, k: int = K, cell: int = CELL
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The documents without near copies: of every component the first stays."""
-    row = fresh(docs, "row")
-    stored = written(numbered(docs, row), "ngram")
-    dropped = joined(stored, row).filter(~F.col("kept")).select(F.col("row").alias(row))
-    return stored.join(dropped, row, "left_anti").drop(row)
+    """The documents without near copies: of every component the first stays; of
+    rows with the same id and text one, chosen by a hash of the whole row."""
+    kept = joined(docs).filter("kept")
+    names = {c: fresh(docs, c) for c in ("text_hash", "known_id", "turn")}
+    key = [names["text_hash"], names["known_id"]]
+
+    def known(doc_id: Column) -> Column:
+        return F.coalesce(doc_id.cast("long"), F.lit(-(1 << 63)))
+
+    staying = kept.select(F.col("text_hash").alias(key[0]), known(F.col("doc_id")).alias(key[1])).distinct()
+    rows = docs.withColumns({key[0]: F.xxhash64(text_of(docs)), key[1]: known(docs["doc_id"])})
+    turn = F.row_number().over(Window.partitionBy(*key).orderBy(F.xxhash64(*docs.columns)))
+    return rows.join(staying, key).withColumn(names["turn"], turn).filter(F.col(names["turn"]) == 1).select(*docs.columns)
