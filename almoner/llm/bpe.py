@@ -34,13 +34,16 @@ from pyspark.sql import types as T
 from almoner.llm.common import fresh, ship, text_of
 
 STATES, CHUNKS = 200_000, 250_000
+#: For workers that other stages have used before.
+SMALL = 100_000
 LONG_CHUNK = 64
 
 
 class Transducer:
     """Encodes single pieces (matches of the splitting pattern)."""
 
-    def __init__(self, ranks: dict[bytes, int]):
+    def __init__(self, ranks: dict[bytes, int], most: int = STATES):
+        self.most = most
         self.ranks = ranks
         self.bytes_of = {rank: token for token, rank in ranks.items()}
         self.prefixes = {token[:k] for token in ranks for k in range(len(token))}
@@ -144,7 +147,7 @@ class Transducer:
     def encode(self, piece: bytes) -> list[int]:
         if piece in self.ranks:  # also tokens that no merge reaches
             return [self.ranks[piece]]
-        if len(self.states) > STATES:
+        if len(self.states) > self.most:
             self.reset()
         state, moves, tokens = 0, self.moves, []
         for byte in piece:  # as in stream(), without its cost per token
@@ -163,8 +166,9 @@ class Encoder:
     recent chunks are looked up.
     """
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
-        self.transducer = Transducer(ranks)
+    def __init__(self, ranks: dict[bytes, int], pattern: str, most: int = CHUNKS):
+        self.most = most
+        self.transducer = Transducer(ranks, min(most, STATES))
         self.pattern = regex.compile(pattern)
         self.chunks: dict[str, tuple[int, ...]] = {}
         self.older: dict[str, tuple[int, ...]] = {}
@@ -183,7 +187,7 @@ class Encoder:
                 return None
             found = tuple(self.pieces(text))
         if len(text) <= LONG_CHUNK:
-            if len(self.chunks) >= CHUNKS:
+            if len(self.chunks) >= self.most:
                 self.chunks, self.older = {}, self.chunks
             self.chunks[text] = found
         return found
@@ -237,9 +241,9 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 @functools.lru_cache(maxsize=2)
-def coders(path: str, pattern: str) -> tuple[Encoder, Decoder]:
+def coders(path: str, pattern: str, most: int = CHUNKS) -> tuple[Encoder, Decoder]:
     """One pair for each Python worker; ``path`` is a file on its machine."""
-    encoder = Encoder(read_ranks(path), pattern)
+    encoder = Encoder(read_ranks(path), pattern, most)
     return encoder, Decoder(encoder.transducer.bytes_of)
 
 
@@ -251,10 +255,10 @@ def encoded(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     schema = T.StructType([*(f for f in docs.schema if f.name != "text"), T.StructField(ids, T.ArrayType(T.IntegerType())), T.StructField(number, T.LongType())])
 
     def run(batches):
-        encoder, _ = coders(path, pattern)
+        encoder, _ = coders(path, pattern, SMALL)
         for batch in batches:
-            for part in range(0, batch.num_rows, 500):
-                cut = batch.slice(part, 500)
+            for part in range(0, batch.num_rows, 200):
+                cut = batch.slice(part, 200)
                 found = [encoder.encode(text) for text in cut.column("text").to_pylist()]
                 kept = [cut.column(f.name) for f in schema.fields[:-2]]
                 yield pa.RecordBatch.from_arrays([*kept, pa.array(found, pa.list_(pa.int32())), pa.array(map(len, found), pa.int64())], names=schema.names)
@@ -268,8 +272,8 @@ def transcoded(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     def run(batches):
         encoder, decoder = coders(path, pattern)
         for batch in batches:
-            for part in range(0, batch.num_rows, 500):
-                rows = batch.slice(part, 500)
+            for part in range(0, batch.num_rows, 200):
+                rows = batch.slice(part, 200)
                 ids = [encoder.encode(text) for text in rows.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays(
                     [
