@@ -91,11 +91,19 @@ SENTENCES = [
     ("proprietary", "proprietary", r"(?:confidential and proprietary|proprietary and confidential)"),
     ("reserved", "rights reserved", r"(?:all|some) rights reserved"),
     ("copyright", "copyright", r"copyright (?:c )?(?:19|20)[0-9]{2}"),
-    ("license-mention", "licen", r"(?:licensed|released|distributed) under"),
+    ("license-mention", "ed under", r"(?:licensed|released|distributed) under"),
 ]
 
-#: A text without any of these has no detection.
-GATES = ["licen", "copyright", "right", "public", "spdx", "gpl", "cc by", "creative", "proprietary", "permission", "redistribut", "apache org", "unencumbered", "express or implied"]
+#: The rules "released under the terms of the <name>", with or without a version, run
+#: where the words before the name and some family's name are there; ``UNDER`` is
+#: their keyword, which no line contains. A line without any of the hints has none.
+UNDER = "<under>"
+UNDER_HINTS = ["ed under ", "available under ", "ed by ", "available by "]
+UNDER_WORDS = r"(?:licensed|released|distributed|available|published|provided|covered) (?:under|by)(?: the)?(?: terms of)?(?: the)?"
+UNDER_NAMES = rf"(?<= ){UNDER_WORDS} (?:{'|'.join(name for _, name, _ in FAMILIES)})(?= )"
+
+#: A text without any of these and without ``UNDER_NAMES`` has no detection.
+GATES = ["released under", "distributed under", "licen", "copyright", "right", "public", "spdx", "gpl", "cc by", "creative", "proprietary", "permission", "redistribut", "apache org", "unencumbered", "express or implied"]
 CONFIDENCE = [1.0, 0.95, 0.9, 0.8, 0.6, 0.3]
 
 
@@ -115,16 +123,15 @@ def rules() -> list[Rule]:
         found.append(Rule(label, keyword, f"(?<= )(?:{pattern})(?= )", priority))
 
     sentences = [(*s, 5 if s[0] in ("license-mention", "copyright") else 1) for s in SENTENCES]
-    under = r"(?:licensed|released|distributed|available|published|provided|covered) (?:under|by)(?: the)?(?: terms of)?(?: the)?"
     for label, name, versions in FAMILIES:
         for v in sorted(versions, key=len, reverse=True):
             full = f"{label}-{v.replace(' ', '.')}"
             number = rf"v?{v}"
             add(full, "spdx", rf"spdx license identifier {name}(?: v)? {number}(?: only| or later)?", 0)
-            add(full, "under", rf"{under} {name}(?: licen[cs]e)?(?: version| v)? {number}", 2)
+            add(full, UNDER, rf"{UNDER_WORDS} {name}(?: licen[cs]e)?(?: version| v)? {number}", 2)
             add(full, "licen", rf"{name}(?: licen[cs]e)(?: version| v)? {number}|{name}(?: version| v)? {number} licen[cs]e", 3)
         add(label, "spdx", rf"spdx license identifier {name}", 0)
-        add(label, "under", rf"{under} {name}(?: licen[cs]e)?", 3)
+        add(label, UNDER, rf"{UNDER_WORDS} {name}(?: licen[cs]e)?", 3)
         add(label, "licen", rf"{name} (?:public )?licen[cs]e", 4)
     for label, keyword, pattern, priority in sentences:
         add(label, keyword, pattern, priority)

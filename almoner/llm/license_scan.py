@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from almoner.llm.common import text_of
-from almoner.llm.license_rules import CONFIDENCE, GATES, Rule, rules
+from almoner.llm.license_rules import CONFIDENCE, GATES, UNDER, UNDER_HINTS, UNDER_NAMES, Rule, rules
 
 #: The contract's phrases and their labels.
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
@@ -36,8 +36,13 @@ def blanks(text: Column) -> Column:
     return F.char_length(text) - F.char_length(F.replace(text, F.lit(" ")))
 
 
-def detections(line: Column, found: list[Rule]) -> Column:
-    """Every match of every rule whose keyword is there: start, end, rank, label."""
+def contains_any(line: Column, parts: list[str]) -> Column:
+    return reduce(lambda a, b: a | b, [F.contains(line, F.lit(p)) for p in parts])
+
+
+def detections(line: Column, under: Column, found: list[Rule]) -> Column:
+    """Every match of every rule whose keyword is there: start, end, rank, label.
+    ``under`` says whether a rule with the keyword ``UNDER`` can match."""
     table = F.array(
         *[
             F.struct(
@@ -68,7 +73,7 @@ def detections(line: Column, found: list[Rule]) -> Column:
 
         return F.transform(hits, place)
 
-    kept = F.filter(table, lambda r: F.contains(line, r["keyword"]))
+    kept = F.filter(table, lambda r: F.contains(line, r["keyword"]) | (under & (r["keyword"] == UNDER)))
     return F.flatten(F.transform(kept, matches))
 
 
@@ -112,9 +117,10 @@ def scanned(docs: DataFrame) -> DataFrame:
     line = F.col("line")
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), words_line(text_of(docs)).alias("line"))
     rows = rows.withColumn("n_words", F.greatest(F.lit(0), blanks(line) - 1).cast("long"))
-    gate = reduce(lambda a, b: a | b, [F.contains(line, F.lit(g)) for g in GATES])
-    rows = rows.select("doc_id", "n_words", "line", F.when(gate, F.array_compact(F.array(*base_places(line, F.col("n_words"))))).alias("base"), gate.alias("gate"))
-    rows = rows.withColumn("found", F.when(F.col("gate"), detections(line, rules())))
+    rows = rows.withColumn("under", contains_any(line, UNDER_HINTS) & line.rlike(UNDER_NAMES))
+    gate = contains_any(line, GATES) | F.col("under")
+    rows = rows.select("doc_id", "n_words", "line", "under", F.when(gate, F.array_compact(F.array(*base_places(line, F.col("n_words"))))).alias("base"), gate.alias("gate"))
+    rows = rows.withColumn("found", F.when(F.col("gate"), detections(line, F.col("under"), rules())))
     spans = F.transform(
         unsuppressed(F.col("found")),
         lambda d: F.struct(
