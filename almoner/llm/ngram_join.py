@@ -20,6 +20,11 @@
    nodes whose sets are all connected already.
 5. Components of the verified links.
 
+The component path skips what is connected already, so it doesn't give every link.
+``linked_pairs`` and ``link_counts`` do: the same cells, without that shortcut, each
+pair of different sets credited to one cell. A group of ``g`` different near copies
+has up to ``g^2 / 2`` pairs, and all are compared.
+
 A text without words has no shingles and links with nothing; missing texts count
 as empty. A component's id is its smallest ``doc_id`` (missing ids don't count).
 Repeated rows and ids are rows of their own; an empty table gives an empty
@@ -142,7 +147,7 @@ def vertices(rows: DataFrame) -> DataFrame:
 
 
 def cells(found: DataFrame, size: int) -> DataFrame:
-    """Which sets meet: rows ``(leader, i, j, vertex)``, one cell for each (leader, i, j)."""
+    """Which sets meet: rows ``(leader, i, j, vertex, block)``, one cell for each (leader, i, j)."""
     tokens = found.select("vertex", F.explode("first").alias("token"))
     shared = tokens.groupBy("token").agg(F.min("vertex").alias("leader"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     members = written(tokens.join(shared.drop("n"), "token").select("leader", "vertex").distinct(), "cells")
@@ -153,7 +158,7 @@ def cells(found: DataFrame, size: int) -> DataFrame:
         members.join(large.select("leader", blocks.alias("blocks"), "n").filter("n > 1"), "leader")
         .withColumn("block", block)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("leader", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "vertex")
+        .select("leader", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "vertex", "block")
     )
 
 
@@ -255,6 +260,21 @@ def with_partner(maps: list[bytes], sizes: np.ndarray) -> np.ndarray:
     return found
 
 
+def shared(x: np.ndarray, y: np.ndarray) -> int | None:
+    """How many shingles two sets share, if they are linked."""
+    both = len(x) + len(y) - len(np.union1d(x, y))
+    return both if both * WHOLE >= PART * (len(x) + len(y) - both) else None
+
+
+def linked(sets_: list[np.ndarray]) -> Iterator[tuple[int, int, int]]:
+    """Of sets sorted by size, every linked pair and how many shingles it shares."""
+    sizes = np.array([len(s) for s in sets_])
+    bits = width(int(sizes.max()))
+    for a, b in SignatureTree(np.array([bitmap(s, bits) for s in sets_]), sizes).traverse(lambda rows, columns: False):
+        if (both := shared(sets_[a], sets_[b])) is not None:
+            yield a, b, both
+
+
 def connected(sets_: list[np.ndarray]) -> Union:
     """Of sets sorted by size, which ones links connect."""
     sizes, union = np.array([len(s) for s in sets_]), Union(len(sets_))
@@ -265,11 +285,8 @@ def connected(sets_: list[np.ndarray]) -> Union:
         return len({union.find(x) for r in (a, b) for x in range(r.start, r.stop)}) == 1
 
     for a, b in tree.traverse(settled):
-        if union.find(a) != union.find(b):
-            x, y = sets_[a], sets_[b]
-            both = len(x) + len(y) - len(np.union1d(x, y))
-            if both * WHOLE >= PART * (len(x) + len(y) - both):
-                union.join(a, b)
+        if union.find(a) != union.find(b) and shared(sets_[a], sets_[b]) is not None:
+            union.join(a, b)
     return union
 
 
@@ -342,18 +359,57 @@ def links(members: DataFrame, k: int) -> DataFrame:
     return members.select(*CELL_KEY, "vertex", "text").repartition(*CELL_KEY).sortWithinPartitions(*CELL_KEY).mapInArrow(run, "src long, dst long")
 
 
+def pairs(members: DataFrame, k: int) -> DataFrame:
+    """Every linked pair of vertices once: numbers, documents with them, sizes, overlap.
+
+    Of the cells that two sets share, the one with the smallest leader has their
+    pair, and of its blocks those that the two are in.
+    """
+    names = ["a", "b", "copies_a", "copies_b", "n_a", "n_b", "n_shared"]
+
+    def run(batches):
+        out = []
+
+        def flushed():
+            columns = list(zip(*out)) or [[]] * len(names)
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=names)
+
+        for (leader, i, j), rows in runs(batches, 3):
+            members_ = {v: (t, n, block, set(leaders)) for v, t, n, block, leaders in rows}
+            if len(members_) < 2:
+                continue
+            found = sorted(((shingle_hashes(t, k), v) for v, (t, *_) in members_.items()), key=lambda p: (len(p[0]), p[1]))
+            for x, y, both in linked([s for s, _ in found]):
+                a, b = found[x][1], found[y][1]
+                (_, m, own, leaders), (_, n, other, others) = members_[a], members_[b]
+                if min(leaders & others) == leader and (min(own, other), max(own, other)) == (i, j):
+                    out.append((a, b, m, n, len(found[x][0]), len(found[y][0]), both))
+                if len(out) > 10_000:
+                    yield flushed()
+                    out.clear()
+        yield flushed()
+
+    rows = members.select(*CELL_KEY, "vertex", "text", "copies", "block", "leaders")
+    return rows.repartition(*CELL_KEY).sortWithinPartitions(*CELL_KEY).mapInArrow(run, ", ".join(f"{c} long" for c in names))
+
+
 # --- the join ----------------------------------------------------------------
 
 
+def with_texts(members: DataFrame, found: DataFrame, docs: DataFrame) -> DataFrame:
+    """Members of cells with their set's text."""
+    text = text_of(docs)
+    texts = docs.select(docs["doc_id"].cast("long").alias("d"), F.xxhash64(text).alias("h"), text.alias("text"))
+    members = members.join(found.select("vertex", "least.doc_id", "least.text_hash"), "vertex")
+    return members.join(texts, (F.col("h") == F.col("text_hash")) & F.col("d").eqNullSafe(F.col("doc_id")))
+
+
 def joined(docs: DataFrame, row: str | None = None, k: int = K, cell: int = CELL) -> DataFrame:
     """Per document: row number, id, hash of its text, size of its set, component,
     and whether it is the component's first."""
     rows = sets(docs, row, k)
     found = vertices(rows)
-    text = text_of(docs)
-    texts = docs.select(docs["doc_id"].cast("long").alias("d"), F.xxhash64(text).alias("h"), text.alias("text"))
-    members = promising(cells(found, cell), found).join(found.select("vertex", "least.doc_id", "least.text_hash"), "vertex")
-    members = members.join(texts, (F.col("h") == F.col("text_hash")) & F.col("d").eqNullSafe(F.col("doc_id")))
+    members = with_texts(promising(cells(found, cell), found), found, docs)
     star = components(links(members, k)).select(F.col("src").alias("vertex"), F.col("dst").alias("root"))
     labelled = found.join(star, "vertex", "left").select("key", "least", F.coalesce("root", "vertex").alias("root"))
     first = labelled.groupBy("root").agg(F.min("least").alias("component"))
@@ -368,6 +424,39 @@ def joined(docs: DataFrame, row: str | None = None, k: int = K, cell: int = CELL
     )
 
 
+def all_links(docs: DataFrame, k: int, cell: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The stored rows, the sets with the number of their documents, the pairs of sets."""
+    rows = sets(docs, None, k)
+    found = vertices(rows)
+    met = cells(found, cell)
+    near = promising(met, found)
+    leaders = near.groupBy("vertex").agg(F.collect_set("leader").alias("leaders"))
+    counted = found.join(rows.groupBy("key").agg(F.count(F.lit(1)).alias("copies")), "key").select("vertex", "key", "least", "copies")
+    members = near.join(met, [*CELL_KEY, "vertex"]).join(leaders, "vertex").join(counted.select("vertex", "copies"), "vertex")
+    return rows, counted, pairs(with_texts(members, found, docs), k)
+
+
+def linked_pairs(docs: DataFrame, k: int = K, cell: int = CELL) -> DataFrame:
+    """Every linked pair of different sets once, each set by its first document:
+    ids, numbers of documents with the set, sizes, and shingles in common."""
+    _, counted, found = all_links(docs, k, cell)
+    for side in "ab":
+        ids = counted.select(F.col("vertex").alias(side), F.col("least.doc_id").alias(f"doc_id_{side}"))
+        found = found.join(ids, side)
+    return found.select("doc_id_a", "doc_id_b", "copies_a", "copies_b", "n_a", "n_b", "n_shared")
+
+
+def link_counts(docs: DataFrame, k: int = K, cell: int = CELL) -> DataFrame:
+    """Per document its id, the size of its set and the number of other documents
+    it is linked with, those with the same set too."""
+    rows, counted, found = all_links(docs, k, cell)
+    ends = F.array(*[F.struct(F.col(x).alias("vertex"), F.col(f"copies_{y}").alias("n")) for x, y in ("ab", "ba")])
+    near = found.select(F.explode(ends).alias("end")).groupBy(F.col("end.vertex").alias("vertex")).agg(F.sum("end.n").alias("near"))
+    n_links = (F.col("copies") - 1 + F.coalesce("near", F.lit(0))).alias("n_links")
+    by_key = counted.join(near, "vertex", "left").select("key", n_links)
+    return rows.join(by_key, "key", "left").select("doc_id", "n_shingles", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+
+
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The documents without near copies: of every component the first stays; of
     rows with the same id and text one, chosen by a hash of the whole row."""

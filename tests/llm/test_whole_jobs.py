@@ -4,9 +4,34 @@ from __future__ import annotations
 
 from collections import Counter
 
-from almoner.llm import license_rules, license_scan
+import pytest
+
+from almoner.llm import license_rules, license_scan, ngram_join
 from tests.llm import brute
 
+# --- 5: n-gram join
+
+
+@pytest.mark.parametrize("cell", [3, 2048])
+def test_join_gives_every_link_once(spark, cell):
+    words = [f"w{i}" for i in range(80)]
+    near = [" ".join([*words[:i], f"x{i}", *words[i + 1 :]]) for i in (0, 1, 2, 78, 79)]
+    texts = [" ".join(words), *near, near[0], near[0], " ".join(words[40:] + ["tail"] * 2), "few words", "FEW  words", "", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    sets = [brute.shingles(t) for t in texts]
+    links = {(a, b) for a in range(len(texts)) for b in range(len(texts)) if a != b and sets[a] and brute.jaccard(sets[a], sets[b]) >= 0.75}
+    got = ngram_join.link_counts(docs, cell=cell).collect()
+    assert {r.doc_id: (r.n_shingles, r.n_links) for r in got} == {a: (len(s), sum(x == a for x, _ in links)) for a, s in enumerate(sets)}
+    first = [next(b for b in range(len(texts)) if sets[b] == s) for s in sets]
+    wanted = Counter(frozenset(p) for p in links if p[0] < p[1] and all(first[x] == x for x in p) and sets[p[0]] != sets[p[1]])
+    pairs = ngram_join.linked_pairs(docs, cell=cell).collect()
+    assert Counter(frozenset((r.doc_id_a, r.doc_id_b)) for r in pairs) == wanted and len(wanted) > 6
+    for r in pairs:
+        a, b = sets[r.doc_id_a], sets[r.doc_id_b]
+        assert (r.n_a, r.n_b, r.n_shared) == (len(a), len(b), len(a & b))
+        assert (r.copies_a, r.copies_b) == (first.count(r.doc_id_a), first.count(r.doc_id_b))
+
+
 # --- 6: license scan
 
 UNGATED = [
