@@ -1,8 +1,9 @@
-"""Exact dedup by a tree-merge of sorted digest runs.
+"""Exact dedup by a tree of aggregates of digests.
 
 Every input partition is a run: its texts' digests with the winning row and the
-number of rows. In each round ``FAN_IN`` neighbouring runs exchange by digest
-and become one sorted run, so that after ``log(runs)`` rounds one run is left.
+number of rows. In each round ``FAN_IN`` neighbouring runs are aggregated by (run,
+digest) into one, so that after ``log(runs)`` rounds one run is left. The rounds are
+plain aggregates: they neither need nor use the order of rows within a run.
 A digest counts at most once per run, also when a third of all rows are copies
 of one text; only digests travel, never texts.
 
@@ -45,7 +46,7 @@ def digests(docs: DataFrame, row: str | None = None) -> DataFrame:
 
 
 def merge_round(runs: DataFrame, fan_in: int = FAN_IN) -> DataFrame:
-    """Merge each ``fan_in`` neighbouring runs into one sorted run."""
+    """Merge each ``fan_in`` neighbouring runs into one, by an aggregate."""
     return (
         runs.groupBy(F.floor(F.col("run") / fan_in).cast("int").alias("run"), *KEY)
         .agg(F.max("winner").alias("winner"), F.sum("group_size").alias("group_size"))
