@@ -6,9 +6,23 @@ from collections import Counter
 
 import pytest
 
-from almoner.llm import license_rules, license_scan, ngram_join
+from almoner.llm import license_rules, license_scan, ngram_join, toxicity
 from tests.llm import brute
 
+# --- 2: toxicity
+
+
+def test_sample_goes_on_after_long_texts(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "SAMPLE_WORDS", 100)
+    monkeypatch.setattr(toxicity, "LONG", 40, raising=False)
+    # three in four texts don't fit, or would leave no room for others
+    docs = spark.createDataFrame([(i, "long " * (150 if i % 2 else 90) if i % 4 else f"row {i}") for i in range(60)], "doc_id long, text string")
+    labels = docs.selectExpr("doc_id", "cast(doc_id % 8 = 0 as int) AS toxic")
+    short = docs.filter(~toxicity.held_out(docs["doc_id"]) & (docs["doc_id"] % 4 == 0))
+    assert Counter(r[0] for r in toxicity.sample(docs, labels)) == Counter(r.text for r in short.collect())
+    assert toxicity.fitting([(1, 90), (2, 101), (3, 5), (4, 5), (5, 95)], 100, 40) == [3, 4, 1]
+
+
 # --- 5: n-gram join
 
 
