@@ -90,6 +90,16 @@ SENTENCES = [
     ("public-domain", "public domain", r"(?:in|into|to) the public domain"),
     ("proprietary", "proprietary", r"(?:confidential and proprietary|proprietary and confidential)"),
     ("reserved", "rights reserved", r"(?:all|some) rights reserved"),
+    ("epl", "accompanying program", r"the accompanying program is provided under the terms of this eclipse public license"),
+    ("epl", "accompanying materials", r"the accompanying materials are made available under the terms of the eclipse public license"),
+    ("mpl-1.1", "mozilla", r"the contents of this file are subject to the mozilla public license version 1 1"),
+    ("ofl-1.1", "font software", r"this font software is licensed under the sil open font license version 1 1"),
+    ("cddl", "common development", r"the contents of this file are subject to the terms of the common development and distribution license"),
+    ("artistic-1.0", "a package may be copied", r"the intent of this document is to state the conditions under which a package may be copied"),
+    ("artistic-2.0", "free software package", r"this license establishes the terms under which a given free software package may be copied modified distributed and or redistributed"),
+    ("bsl-1.0", "permission is hereby granted", r"permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this license"),
+    ("busl-1.1", "non production use", r"the right to copy modify create derivative works redistribute and make non production use of the licensed work"),
+    ("wtfpl", "what the fuck", r"you just do what the fuck you want to"),
     ("copyright", "copyright", r"copyright (?:c )?(?:19|20)[0-9]{2}"),
     ("license-mention", "ed under", r"(?:licensed|released|distributed) under"),
 ]
@@ -103,7 +113,7 @@ UNDER_WORDS = r"(?:licensed|released|distributed|available|published|provided|co
 UNDER_NAMES = rf"(?<= ){UNDER_WORDS} (?:{'|'.join(name for _, name, _ in FAMILIES)})(?= )"
 
 #: A text without any of these and without ``UNDER_NAMES`` has no detection.
-GATES = ["released under", "distributed under", "licen", "copyright", "right", "public", "spdx", "gpl", "cc by", "creative", "proprietary", "permission", "redistribut", "apache org", "unencumbered", "express or implied"]
+GATES = ["released under", "distributed under", "a package may be copied", "what the fuck", "licen", "copyright", "right", "public", "spdx", "gpl", "cc by", "creative", "proprietary", "permission", "redistribut", "apache org", "unencumbered", "express or implied"]
 CONFIDENCE = [1.0, 0.95, 0.9, 0.8, 0.6, 0.3]
 
 

@@ -63,3 +63,26 @@ def test_scan_of_sentences_without_gate_words(spark):
         assert tuple(got[i][1:-1]) == tuple(facts), text
         assert Counter(tuple(x[:3]) for x in got[i].detections) == Counter(tuple(x) for x in spans), text
     assert "mit" in got[0].labels.split(",") and "epl-2.0" in got[3].labels.split(",") and got[7].labels == ""
+
+
+STATED = {
+    "epl": "THE ACCOMPANYING PROGRAM IS PROVIDED UNDER THE TERMS OF THIS ECLIPSE PUBLIC LICENSE",
+    "mpl-1.1": "The contents of this file are subject to the Mozilla Public License Version 1.1",
+    "ofl-1.1": "This Font Software is licensed under the SIL Open Font License, Version 1.1.",
+    "cddl": "The contents of this file are subject to the terms of the Common Development and Distribution License",
+    "artistic-1.0": "The intent of this document is to state the conditions under which a Package may be copied",
+    "artistic-2.0": "This license establishes the terms under which a given free software Package may be copied, modified, distributed, and/or redistributed.",
+    "bsl-1.0": "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license",
+    "busl-1.1": "the right to copy, modify, create derivative works, redistribute, and make non-production use of the Licensed Work.",
+    "wtfpl": "0. You just DO WHAT THE FUCK YOU WANT TO.",
+}
+
+
+def test_scan_of_licenses_by_their_own_sentences(spark):
+    rules = license_rules.rules()
+    frame = spark.createDataFrame(list(enumerate(STATED.values())), "doc_id long, text string")
+    got = {r.doc_id: r for r in license_scan.licenses(frame).collect()}
+    for i, (label, text) in enumerate(STATED.items()):
+        facts, _ = brute.license_facts(text, license_scan.PHRASES, rules, license_rules.CONFIDENCE)
+        assert tuple(got[i][1:-1]) == tuple(facts), label
+        assert label in got[i].labels.split(",") and got[i].score == 0.95, label
