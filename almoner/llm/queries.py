@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from almoner.llm import bpe, exact_dedup, fingerprints, license_scan, mixing, ngram_join, perspectives, style_tree, token_files, toxicity
+from almoner.llm import bpe, exact_dedup, fingerprints, license_scan, mixing, ngram_join, perspectives, prefix_trie, style_tree, token_files, toxicity
 from almoner.llm.common import table
 
 
@@ -56,6 +56,10 @@ def op10_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return perspectives.perspectives(table(spark, sf_dir, "conversations"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_token_files": op1_token_files,
     "op2_toxicity": op2_toxicity,
@@ -67,10 +71,12 @@ QUERIES = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_perspectives": op10_perspectives,
+    "op11_prefix_trie": op11_prefix_trie,
 }
 
 ORACLE = {
     "op10_perspectives": perspectives.SQL,
+    "op11_prefix_trie": prefix_trie.SQL,
     "op9_exact_dedup": """
         WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
         g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY t)
