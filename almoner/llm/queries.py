@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from almoner.llm import bpe, exact_dedup, fingerprints, license_scan, mixing, ngram_join, perspectives, prefix_trie, style_tree, token_files, toxicity
+from almoner.llm import bpe, debruijn, exact_dedup, fingerprints, license_scan, mixing, ngram_join, perspectives, prefix_trie, style_tree, token_files, toxicity, vector_codes
 from almoner.llm.common import table
 
 
@@ -60,6 +60,15 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.trie(table(spark, sf_dir, "conversations"))
 
 
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compressed(table(spark, sf_dir, "embeddings"))
+
+
+def op13_debruijn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = debruijn.without_repeats(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_token_files": op1_token_files,
     "op2_toxicity": op2_toxicity,
@@ -72,11 +81,15 @@ QUERIES = {
     "op9_exact_dedup": op9_exact_dedup,
     "op10_perspectives": op10_perspectives,
     "op11_prefix_trie": op11_prefix_trie,
+    "op12_vector_codes": op12_vector_codes,
+    "op13_debruijn": op13_debruijn,
 }
 
 ORACLE = {
     "op10_perspectives": perspectives.SQL,
     "op11_prefix_trie": prefix_trie.SQL,
+    "op12_vector_codes": vector_codes.sql(),
+    "op13_debruijn": debruijn.SQL,
     "op9_exact_dedup": """
         WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
         g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY t)
