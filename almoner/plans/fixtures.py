@@ -185,28 +185,23 @@ def _ein(key: str) -> Column:
 
 
 def filings(spark: SparkSession, folder: str) -> DataFrame:
-    """E-filed returns: finished orders with revenue, for some also income."""
-    return (
-        table(spark, folder, "orders")
-        .where(F.col("o_orderstatus") == "F")
-        .select(
-            _ein("o_custkey"),
-            F.year("o_orderdate").alias("TAX_YEAR"),
-            F.col("o_orderkey").alias("FILING_ID"),
-            F.col("o_totalprice").alias("F990_TOTAL_REVENUE"),
-            F.when(F.col("o_orderkey") % 3 != 0, F.col("o_totalprice") / 2).alias("F990_TOTAL_INCOME"),
-            F.when(F.col("o_orderkey") % 5 != 0, F.col("o_totalprice") * 2).alias("F990_TOTAL_ASSETS"),
-        )
+    """E-filed returns: one per order, with revenue, most also with income and assets."""
+    return table(spark, folder, "orders").select(
+        _ein("o_custkey"),
+        F.year("o_orderdate").alias("TAX_YEAR"),
+        F.col("o_orderkey").alias("FILING_ID"),
+        F.col("o_totalprice").alias("F990_TOTAL_REVENUE"),
+        F.when(F.col("o_orderkey") % 3 != 0, F.col("o_totalprice") / 2).alias("F990_TOTAL_INCOME"),
+        F.when(F.col("o_orderkey") % 5 != 0, F.col("o_totalprice") * 2).alias("F990_TOTAL_ASSETS"),
     )
 
 
 def block_crosswalk(spark: SparkSession, folder: str) -> DataFrame:
-    """One row per census block with an urban organization; the other blocks
-    are not in the crosswalk, as blocks of later censuses would be."""
+    """One row per census block an organization lies in."""
     block = F.col("CENSUS_BLOCK_FIPS")
     return (
         registry(spark, folder)
-        .where(block.isNotNull() & (F.col("CENSUS_URBAN_AREA") == "URBAN"))
+        .where(block.isNotNull())
         .select(block)
         .distinct()
         .select(

@@ -285,7 +285,7 @@ _FILINGS = f"""filings AS (
   SELECT {_ORG} AS EIN, o_totalprice AS revenue,
     CASE WHEN o_orderkey % 3 <> 0 THEN o_totalprice / 2 END AS income,
     CASE WHEN o_orderkey % 5 <> 0 THEN o_totalprice * 2 END AS assets
-  FROM orders WHERE o_orderstatus = 'F'
+  FROM orders
   QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY year(o_orderdate) DESC, o_orderkey DESC) = 1)"""
 
 # --- census ------------------------------------------------------------------------
@@ -463,22 +463,33 @@ ORACLE: dict[str, str] = {
         SELECT event_id, k AS code, json_extract_string(props, '$.' || k) AS label
         FROM (SELECT event_id, props, unnest(json_keys(props)) AS k FROM events)""",
     "xwalk_dict_check": _with(
-        f"""SELECT coalesce(a.code, b.code, o.code) AS code, a.label AS left_label, b.label AS right_label,
+        " UNION ALL ".join(
+            f"""SELECT '{name}' AS list, coalesce(a.code, b.code, o.code) AS code, a.label AS left_label, b.label AS right_label,
           CASE WHEN a.label IS NULL AND b.label IS NULL THEN 'in neither'
                WHEN a.label IS NULL THEN 'right only' WHEN b.label IS NULL THEN 'left only'
                WHEN a.label = b.label THEN 'same'
                WHEN {_plain_label("a.label")} = {_plain_label("b.label")} THEN 'same up to suffix'
                ELSE 'different' END AS status,
           coalesce(o.n, 0) AS n
-        FROM (SELECT ltrim(code, '0') AS code, label FROM classification) a
-        FULL JOIN (SELECT code, label FROM dictionary WHERE variable = 'BMF_TAX_EXEMPT_PURP') b ON a.code = b.code
-        FULL JOIN observed o ON o.code = coalesce(a.code, b.code)""",
+        FROM (SELECT ltrim(code, '0') AS code, label FROM {left}) a
+        FULL JOIN (SELECT ltrim(code, '0') AS code, label FROM {right}) b ON a.code = b.code
+        FULL JOIN {observed} o ON o.code = coalesce(a.code, b.code)"""
+            for name, left, right, observed in (
+                ("CLASSIFICATION", "classification", "(SELECT * FROM dictionary WHERE variable = 'BMF_TAX_EXEMPT_PURP')", "observed_purposes"),
+                ("SUBSECTION", "subsection", "second_subsection", "observed_subsections"),
+            )
+        ),
         _CLASSIFICATION,
-        """observed AS (
+        _values(list(xw.SUBSECTION_CODES.items()), "subsection", "code, label"),
+        _values(dictionaries.SECOND_SUBSECTION_LIST, "second_subsection", "code, label"),
+        """observed_purposes AS (
           SELECT CAST(BMF_SUBSECTION_CODE AS VARCHAR) || '-' || d AS code, count(*) AS n
           FROM (SELECT BMF_SUBSECTION_CODE, unnest(string_split(CAST(BMF_CLASSIFICATION_CODE AS VARCHAR), '')) AS d
                 FROM registry WHERE BMF_SUBSECTION_CODE IS NOT NULL AND BMF_CLASSIFICATION_CODE IS NOT NULL)
           GROUP BY 1)""",
+        """observed_subsections AS (
+          SELECT CAST(BMF_SUBSECTION_CODE AS VARCHAR) AS code, count(*) AS n
+          FROM registry WHERE BMF_SUBSECTION_CODE IS NOT NULL GROUP BY 1)""",
     ),
     "ein2": _with(f"SELECT {_EIN9} AS EIN, {_EIN2} AS EIN2 FROM registry"),
     "unified_latest": _plain(_latest(), _RAW, _RELEASES),
@@ -512,13 +523,12 @@ ORACLE: dict[str, str] = {
     "build_unified": _plain(_BUILT, _RAW, _RELEASES),
     "unified_refresh": _plain(_BUILT, _RAW, _RELEASES),
     "append_fips": _with(
-        """SELECT u.EIN, u.EIN2, u.CENSUS_BLOCK_FIPS,
-          CASE WHEN b.block IS NOT NULL THEN substr(b.block, 1, 11) END AS TRACT_FIPS,
+        """SELECT EIN, EIN2, u.block AS CENSUS_BLOCK_FIPS, substr(b.block, 1, 11) AS TRACT_FIPS,
           substr(b.block, 1, 5) AS COUNTY_FIPS, substr(b.block, 1, 2) AS STATE_FIPS,
           'Z' || substr(b.block, 6, 5) AS ZCTA
-        FROM unified u LEFT JOIN
-          (SELECT DISTINCT CENSUS_BLOCK_FIPS AS block FROM registry WHERE CENSUS_URBAN_AREA = 'URBAN') b
-        ON b.block = u.CENSUS_BLOCK_FIPS"""
+        FROM (SELECT EIN, EIN2, CASE WHEN CAST(EIN AS BIGINT) % 26 = 0 THEN '99' || substr(CENSUS_BLOCK_FIPS, 3)
+                                     ELSE CENSUS_BLOCK_FIPS END AS block FROM unified) u
+        LEFT JOIN (SELECT DISTINCT CENSUS_BLOCK_FIPS AS block FROM registry) b ON b.block = u.block"""
     ),
     # derivation and labelling
     "pad_code": _with(

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from almoner.fixed import crosswalk as xw
+from almoner.fixed import dictionaries
 from almoner.fixed.columns import LABELLING_COLUMNS, UNIFIED_SCHEMA
 from almoner.functions import codes, taxonomy
 from almoner.operators import address, census, derive, harmonize, reports, unify
@@ -287,31 +288,30 @@ def xwalk_json_dict(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("xwalk_dict_check")
 def xwalk_dict_check(spark: SparkSession, folder: str) -> DataFrame:
-    """The two purpose dictionaries against each other, with the number of
+    """Both code lists of the crosswalk against their dictionaries, with the number of
     organizations that carry each code (codes nobody lists included)."""
     lists = derive.literal_frame(spark, xw.crosswalk_rows(), xw.CROSSWALK_SCHEMA)
-    left = harmonize.json_dictionary(
-        lists.where(F.col("NAME_OLD") == "CLASSIFICATION"), "NAME_OLD", "DESC"
-    )
-    right = derive.dictionary_frame(spark, ["BMF_TAX_EXEMPT_PURP"])
-    keys = codes.purpose_keys(F.col("BMF_SUBSECTION_CODE"), F.col("BMF_CLASSIFICATION_CODE"))
-    observed = (
-        fx.registry(spark, folder)
-        .select(F.explode(keys).alias("code"))
-        .groupBy("code")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    return (
-        harmonize.compare_dictionaries(left, right)
-        .join(observed, "code", "full")
-        .select(
+    orgs = fx.registry(spark, folder)
+    purposes = codes.purpose_keys(F.col("BMF_SUBSECTION_CODE"), F.col("BMF_CLASSIFICATION_CODE"))
+    subsections = derive.literal_frame(spark, dictionaries.SECOND_SUBSECTION_LIST, "code string, label string")
+
+    def check(name: str, right: DataFrame, observed: DataFrame) -> DataFrame:
+        left = harmonize.json_dictionary(lists.where(F.col("NAME_OLD") == name), "NAME_OLD", "DESC")
+        counted = observed.groupBy("code").agg(F.count(F.lit(1)).alias("n"))
+        listed = F.col("left_label").isNotNull() | F.col("right_label").isNotNull()
+        return harmonize.compare_dictionaries(left, right).join(counted, "code", "full").select(
+            F.lit(name).alias("list"),
             "code",
             "left_label",
             "right_label",
-            F.coalesce(F.when(F.col("left_label").isNotNull() | F.col("right_label").isNotNull(), F.col("status")), F.lit("in neither")).alias("status"),
+            F.coalesce(F.when(listed, F.col("status")), F.lit("in neither")).alias("status"),
             F.coalesce("n", F.lit(0).cast("long")).alias("n"),
         )
-    )
+
+    by_purpose = orgs.select(F.explode(purposes).alias("code"))
+    by_subsection = orgs.where(F.col("BMF_SUBSECTION_CODE").isNotNull()).select(F.col("BMF_SUBSECTION_CODE").cast("string").alias("code"))
+    purpose = check("CLASSIFICATION", derive.dictionary_frame(spark, ["BMF_TAX_EXEMPT_PURP"]), by_purpose)
+    return purpose.unionByName(check("SUBSECTION", subsections, by_subsection))
 
 
 @query("ein2")
@@ -394,7 +394,11 @@ def unified_refresh(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("append_fips")
 def append_fips(spark: SparkSession, folder: str) -> DataFrame:
-    orgs = _unified(spark, folder).select("EIN", "EIN2", "CENSUS_BLOCK_FIPS")
+    """Geographies of every organization's block. Every 26th organization lies in a
+    block of a later census, under a state number that doesn't exist."""
+    block = F.col("CENSUS_BLOCK_FIPS")
+    later = F.when(F.col("EIN").cast("long") % 26 == 0, F.concat(F.lit("99"), F.substring(block, 3, 13))).otherwise(block)
+    orgs = _unified(spark, folder).select("EIN", "EIN2", later.alias("CENSUS_BLOCK_FIPS"))
     return unify.append_fips(orgs, fx.block_crosswalk(spark, folder))
 
 
