@@ -6,7 +6,7 @@ windows share. The graph is never held edge by edge:
 * windows in a row whose least ``ANCHOR``-word hash (the leftmost one) is the same form a
   piece, a path that is already compact. Equal windows have equal anchors, so pieces
   whose anchor occurs once hold no repeated window and go no further. A piece is known
-  by its anchor and a SHA-256 of its words, and has a source, its first place.
+  by its anchor and a second hash of its words, and has a source, its first place.
 * pieces are compacted into paths by joins: if every occurrence of P is followed by Q and
   every one of Q preceded by P, the node between doesn't branch. Such pieces lie side by
   side at their source too, so paths are runs of pieces there.
@@ -66,6 +66,15 @@ def _joined(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
+def _runs(one: np.ndarray, n: int) -> np.ndarray:
+    """Hashes of every ``n`` words in a row, from those of two shorter runs that cover them."""
+    found, size = one, 1
+    while size < n:
+        step = min(size, n - size)
+        found, size = _joined(found[:-step], found[step:]), size + step
+    return found
+
+
 class Words:
     """The words of several texts, one after another."""
 
@@ -81,18 +90,21 @@ class Words:
         return b" ".join(self.words), np.concatenate([[0], np.cumsum(lengths + 1)])
 
 
-def anchors(words: Words, hashes: _Hashes, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The pieces of all texts: first window, number of windows, hash of the anchor."""
+def word_hashes(words: Words, hashes: _Hashes) -> np.ndarray:
+    return np.fromiter(map(hashes.__getitem__, words.words), np.uint64, len(words.words))
+
+
+def anchors(words: Words, one: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The pieces of all texts: first window, number of windows, hash of the anchor.
+
+    ``one`` are the hashes of the words.
+    """
     empty = np.empty(0, np.int64)
-    n = len(words.words)
-    if n < window:
+    if len(one) < window:
         return empty, empty, empty
-    one = np.fromiter(map(hashes.__getitem__, words.words), np.uint64, n)
-    grams, size = one, 1
-    while size < ANCHOR:  # a gram of `size + 1` words from one of `size`
-        grams, size = _joined(grams[:-1], one[size:]), size + 1
+    grams = _runs(one, min(ANCHOR, window))
     # the least gram of each window and its place, by doubling; the leftmost of equal ones
-    least, place, size, span = grams, np.arange(len(grams)), 1, window - ANCHOR + 1
+    least, place, size, span = grams, np.arange(len(grams)), 1, len(grams) - (len(one) - window)
     while size < span:
         step = min(size, span - size)
         left = least[:-step] <= least[step:]
@@ -147,7 +159,8 @@ def repeated_anchors(texts: DataFrame, window: int) -> DataFrame:
         hashes = _Hashes()
         for batch in batches:
             for _, part in slices(batch, 0):
-                values, counts = np.unique(anchors(Words(part), hashes, window)[2], return_counts=True)
+                words = Words(part)
+                values, counts = np.unique(anchors(words, word_hashes(words, hashes), window)[2], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(values), pa.array(counts.astype(np.int64))], names=["anchor", "n"])
 
     counted = texts.select("text").mapInArrow(run, "anchor long, n long")
@@ -155,15 +168,20 @@ def repeated_anchors(texts: DataFrame, window: int) -> DataFrame:
 
 
 def occurrences(texts: DataFrame, window: int) -> DataFrame:
-    """Every piece at every place: anchor, digest, document, first window, number of windows."""
+    """Every piece at every place: anchor, second hash, document, first window, number of windows."""
 
     def run(batches):
         hashes = _Hashes()
         for batch in batches:
             for rows, part in slices(batch, 2):
                 words = Words(part)
-                first, count, anchor = anchors(words, hashes, window)
-                piece = np.ascontiguousarray(_digests(words, first, count + window - 1)[:, :8]).view(np.int64).ravel()
+                one = word_hashes(words, hashes)
+                first, count, anchor = anchors(words, one, window)
+                if not len(first):
+                    continue
+                whole = _runs(one * np.uint64(0xD6E8FEB86659FD93) ^ np.uint64(0xA0761D6478BD642F), window)
+                # its first and last window have all words of a piece
+                piece = _joined(whole[first] + count.astype(np.uint64), whole[first + count - 1]).view(np.int64)
                 doc = np.searchsorted(words.starts, first, "right") - 1
                 # empty texts share their start with the next one; the last of these has the words
                 ids = rows.column(0).take(pa.array(doc))
@@ -212,10 +230,10 @@ def compacted(places: DataFrame, pieces: DataFrame) -> DataFrame:
 
 
 def looked_up(texts: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
-    """Digests from the sources: of whole paths (``windows`` set), of single windows of pieces.
+    """Digests from the sources: of whole paths, and of the single windows of pieces.
 
     ``wanted`` names a document, a first window, a number of windows, and whether these
-    form a path.
+    form a path. Repeated documents give their digests repeatedly.
     """
 
     def run(batches):
@@ -242,8 +260,7 @@ def looked_up(texts: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
 
     lists = wanted.groupBy(*PLACE).agg(F.collect_list(F.struct("at", "n", "path")).alias("wanted"))
     rows = texts.join(lists, same(texts, lists, *PLACE)).select(texts["doc_id"], texts["tie"], "text", "wanted")
-    found = rows.mapInArrow(run, "doc_id long, tie long, at int, windows int, path boolean, digest0 long, digest1 long")
-    return written(found.distinct(), "sources")
+    return written(rows.mapInArrow(run, "doc_id long, tie long, at int, windows int, path boolean, digest0 long, digest1 long"), "sources")
 
 
 def repeats(texts: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -252,7 +269,9 @@ def repeats(texts: DataFrame, window: int = WINDOW) -> DataFrame:
     Those that repeat a path have its digest, and its source.
     """
     ship(texts.sparkSession)
-    places = written(occurrences(texts, window).join(repeated_anchors(texts, window), "anchor", "left_semi").distinct(), "places")
+    # hashed, not sorted: the anchors of a partition are few beside its pieces
+    repeated = repeated_anchors(texts, window).hint("shuffle_hash")
+    places = written(occurrences(texts, window).join(repeated, "anchor", "left_semi").distinct(), "places")
     source = F.min(F.struct(*PLACE, "at"))
     pieces = places.groupBy("anchor", "piece", "n").agg(source.alias("source"), F.count(F.lit(1)).alias("copies"))
     pieces = written(pieces.select("anchor", "piece", "n", "copies", "source.*"), "pieces")
@@ -268,7 +287,7 @@ def repeats(texts: DataFrame, window: int = WINDOW) -> DataFrame:
     none = F.lit(None).cast("long")
     single = later.select(*PLACE, "at", F.lit(1).alias("windows"), none.alias("digest0"), none.alias("digest1"), F.col("first.doc_id").alias("source_id"), F.col("first.at").alias("source_at"))
 
-    whole = sources.filter("path").select(F.col("doc_id").alias("source_id"), F.col("tie").alias("source_tie"), F.col("at").alias("source_at"), "digest0", "digest1")
+    whole = sources.filter("path").distinct().select(F.col("doc_id").alias("source_id"), F.col("tie").alias("source_tie"), F.col("at").alias("source_at"), "digest0", "digest1")
     known = paths.join(
         whole, paths["doc_id"].eqNullSafe(whole["source_id"]) & (paths["tie"] == whole["source_tie"]) & (paths["at"] == whole["source_at"])
     ).select("head.anchor", "head.piece", "windows", "source_id", "source_tie", "source_at", "digest0", "digest1")
