@@ -250,6 +250,19 @@ def census_panel(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def tract_panel(spark: SparkSession, folder: str) -> DataFrame:
+    """Tract x year panel: a nation's segments as its tracts."""
+    nation, population = F.col("c_nationkey"), F.col("n").cast("double")
+    return order_counts(spark, folder).select(
+        F.concat_ws("-", nation.cast("string"), "c_mktsegment").alias("geoid"),
+        "year",
+        population.alias("total_population"),
+        (population * 2).alias("housing_units"),
+        F.when(nation % 4 != 1, (nation * 7 + F.col("year")) % 100).cast("double").alias("poverty_perc"),
+        (50000 + nation * 1000).cast("double").alias("med_household_income_adj"),
+    )
+
+
 def area_crosswalk(spark: SparkSession, folder: str) -> DataFrame:
     """Nation -> region, standing for tract -> larger area. One area is missing."""
     return table(spark, folder, "nation").where("n_nationkey <> 24").select(

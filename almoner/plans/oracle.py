@@ -11,6 +11,7 @@ from almoner.fixed import dictionaries
 from almoner.fixed.columns import FINAL_COLUMNS, FINAL_NAMES, LABELLING_COLUMNS, UNIFIED_SCHEMA
 from almoner.functions import taxonomy
 from almoner.plans import fixtures as fx
+from almoner.plans import geography
 from almoner.plans import queries as q
 
 
@@ -323,6 +324,14 @@ def _years(expr: str) -> str:
     return ", ".join(expr.format(y=y) for y in q.YEARS)
 
 
+_TRACTS = """tracts AS (
+  SELECT c_nationkey || '-' || c_mktsegment AS geoid, CAST(year(o_orderdate) AS INTEGER) AS year,
+    CAST(count(*) AS DOUBLE) AS total_population, CAST(count(*) * 2 AS DOUBLE) AS housing_units,
+    CASE WHEN c_nationkey % 4 <> 1 THEN CAST((c_nationkey * 7 + year(o_orderdate)) % 100 AS DOUBLE) END AS poverty_perc,
+    CAST(50000 + c_nationkey * 1000 AS DOUBLE) AS med_household_income_adj
+  FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY c_nationkey, c_mktsegment, year(o_orderdate))"""
+_GEOGRAPHIES = [("tract", "geoid", "tracts"), ("county", "geoid", "panel"), ("msa", "region", "regions")]
+
 _FLAGS = r"""regexp_matches(ORG_ADDR_FULL, '[#@&%*]') AS has_special_chars,
     regexp_matches(ORG_ADDR_FULL, '(?i)P\.?O\.? Box') AS has_po_box,
     regexp_matches(ORG_ADDR_FULL, '(?i)(RR|Rural Route)') AS has_rural_route,
@@ -697,21 +706,28 @@ ORACLE: dict[str, str] = {
     ),
     # census
     "census_long": _plain(
-        """SELECT geoid, year, total_population, housing_units, poverty_perc, med_household_income_adj, 'county' AS geo
-        FROM panel
-        UNION ALL SELECT region, year, total_population, housing_units, poverty_perc, med_household_income_adj, 'msa' FROM regions""",
+        " UNION ALL ".join(
+            f"""SELECT {area} AS geoid, year, total_population, housing_units, poverty_perc, med_household_income_adj, '{geo}' AS geo
+        FROM {panel}"""
+            for geo, area, panel in _GEOGRAPHIES
+        ),
         _PANEL,
         _REGIONS,
+        _TRACTS,
     ),
     "census_wide": _plain(
-        "SELECT geoid, "
-        + _years("max(total_population) FILTER (WHERE year = {y}) AS total_population_{y}")
-        + "".join(
-            ", " + _years(f"max({c}) FILTER (WHERE year = {{y}}) AS {c}_{{y}}")
-            for c in ("housing_units", "poverty_perc", "med_household_income_adj")
-        )
-        + " FROM panel GROUP BY geoid",
+        " UNION ALL ".join(
+            f"SELECT {area} AS geoid, '{geo}' AS geo, "
+            + ", ".join(
+                _years(f"max({c}) FILTER (WHERE year = {{y}}) AS {c}_{{y}}")
+                for c in ("total_population", "housing_units", "poverty_perc", "med_household_income_adj")
+            )
+            + f" FROM {panel} GROUP BY {area}"
+            for geo, area, panel in _GEOGRAPHIES
+        ),
         _PANEL,
+        _REGIONS,
+        _TRACTS,
     ),
     "census_inflation": _plain(
         f"""SELECT geoid, year, total_population, housing_units, poverty_perc, CASE WHEN year BETWEEN 1996 AND 2001
@@ -760,3 +776,5 @@ ORACLE: dict[str, str] = {
         )
     ),
 }
+
+ORACLE.update(geography.ORACLE)

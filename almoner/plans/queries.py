@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,7 @@ from almoner.fixed.columns import LABELLING_COLUMNS, UNIFIED_SCHEMA
 from almoner.functions import codes, taxonomy
 from almoner.operators import address, census, derive, harmonize, reports, unify
 from almoner.plans import fixtures as fx
+from almoner.plans import geography
 from almoner.plans import unified
 from almoner.plans.labelling import label_registry, labelling_input
 from almoner.session import scratch_path, written
@@ -768,20 +770,24 @@ def _panels(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     msa = census.roll_up(
         county, fx.area_crosswalk(spark, folder), "region"
     ).withColumnRenamed("region", "geoid")
-    return {"county": county, "msa": msa}
+    return {"tract": fx.tract_panel(spark, folder), "county": county, "msa": msa}
+
+
+def _stacked(frames: dict[str, DataFrame]) -> DataFrame:
+    tagged = [frame.withColumn("geo", F.lit(geo)) for geo, frame in frames.items()]
+    return functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
 
 
 @query("census_long")
 def census_long(spark: SparkSession, folder: str) -> DataFrame:
     panels = _panels(spark, folder)
-    one = census.census_data(panels, "county").withColumn("geo", F.lit("county"))
-    other = census.census_data(panels, "msa").withColumn("geo", F.lit("msa"))
-    return one.unionByName(other, allowMissingColumns=True)
+    return _stacked({geo: census.census_data(panels, geo) for geo in panels})
 
 
 @query("census_wide")
 def census_wide(spark: SparkSession, folder: str) -> DataFrame:
-    return census.census_data({"county": fx.census_panel(spark, folder)}, "county", format="wide")
+    panels = _panels(spark, folder)
+    return _stacked({geo: census.census_data(panels, geo, YEARS, "wide") for geo in panels})
 
 
 INFLATION = {year: 1 + (2021 - year) / 32 for year in YEARS[1:]}
@@ -866,3 +872,6 @@ def geo_reports(spark: SparkSession, folder: str) -> DataFrame:
     return reports.frequencies(
         _labelled(spark, folder), ["CENSUS_STATE_ABBR", "CENSUS_URBAN_AREA", "CENSUS_CBSA_NAME"]
     )
+
+
+QUERIES.update(geography.QUERIES)
