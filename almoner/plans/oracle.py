@@ -11,7 +11,7 @@ from almoner.fixed import dictionaries
 from almoner.fixed.columns import FINAL_COLUMNS, FINAL_NAMES, LABELLING_COLUMNS, UNIFIED_SCHEMA
 from almoner.functions import taxonomy
 from almoner.plans import fixtures as fx
-from almoner.plans import geography
+from almoner.plans import geography, refreshing
 from almoner.plans import queries as q
 
 
@@ -778,3 +778,36 @@ ORACLE: dict[str, str] = {
 }
 
 ORACLE.update(geography.ORACLE)
+
+_NOTES = f"notes AS (SELECT event_id, user_id, {refreshing.NOTE.format(newline='chr(10)')} AS note FROM events)"
+_UPDATED = ["F990_TOTAL_ASSETS", "NTEE_IRS", "BMF_SUBSECTION_CODE", "BMF_GROUP_EXEMPT_NUM"]
+ORACLE.update(
+    {
+        "ingest_ranges": _plain(
+            """SELECT 'first' AS source, CAST(event_id AS VARCHAR) AS event_id, CAST(user_id AS VARCHAR) AS user_id, note, NULL AS problem
+            FROM notes WHERE event_id % 2 = 0
+            UNION ALL SELECT 'second', CAST(event_id AS VARCHAR), NULL, note, NULL FROM notes WHERE event_id % 2 = 1
+            UNION ALL SELECT 'third', CASE WHEN event_id % 50 <> 0 THEN CAST(event_id AS VARCHAR) END, NULL,
+              CASE WHEN event_id % 50 <> 0 THEN 'ok' END, CASE WHEN event_id % 50 = 0 THEN 'structure' END FROM events
+            UNION ALL SELECT 'absent.csv', NULL, NULL, NULL, 'FileNotFoundError'""",
+            _NOTES,
+        ),
+        "kept_report": _plain(
+            " UNION ALL ".join(f"SELECT '{c}' AS variable, CAST({c} AS VARCHAR) AS value, count(*) AS n FROM built GROUP BY 2" for c in refreshing.REPORTED),
+            _RAW,
+            _RELEASES,
+            f"built AS ({_BUILT})",
+        ),
+        "bucket_upsert": _plain(
+            "SELECT coalesce(n.EIN, o.EIN) AS EIN, "
+            + ", ".join(f"coalesce(n.{c}, o.{c}) AS {c}" for c in ("VINTAGE", *_UPDATED))
+            + " FROM older_table o FULL JOIN newer_table n ON n.EIN = o.EIN",
+            _RAW,
+            _RELEASES,
+            f"older_table AS ({_latest('VINTAGE < (SELECT max(VINTAGE) FROM releases)')})",
+            f"newer_table AS ({_latest('VINTAGE = (SELECT max(VINTAGE) FROM releases)')})",
+        ),
+        "committed_sink": """
+            SELECT format, o_orderkey, o_custkey, o_orderpriority FROM orders, (VALUES ('parquet'), ('csv')) f(format)""",
+    }
+)

@@ -15,7 +15,7 @@ from almoner.fixed.columns import LABELLING_COLUMNS, UNIFIED_SCHEMA
 from almoner.functions import codes, taxonomy
 from almoner.operators import address, census, derive, harmonize, reports, unify
 from almoner.plans import fixtures as fx
-from almoner.plans import geography
+from almoner.plans import geography, refreshing
 from almoner.plans import unified
 from almoner.plans.labelling import label_registry, labelling_input
 from almoner.session import scratch_path, written
@@ -875,3 +875,4 @@ def geo_reports(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES.update(geography.QUERIES)
+QUERIES.update(refreshing.QUERIES)
