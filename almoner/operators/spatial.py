@@ -24,7 +24,7 @@ from almoner.session import written
 
 PER_DEGREE = 1_000_000
 #: Side of the largest and the smallest cells, as powers of two, and the step between.
-COARSEST, FINEST, STEP = 29, 11, 2
+COARSEST, FINEST, STEP = 29, 11, 3
 #: A cell with more areas, or more areas times points, is split.
 MOST_AREAS, MOST_TESTS = 32, 1 << 20
 _EDGE = ("x1", "y1", "x2", "y2")
