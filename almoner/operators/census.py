@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from almoner.functions.codes import literal_map
 from almoner.functions.geography import cbsa_class
+from almoner.operators import quantiles
 from almoner.operators.joins import lookup_join
 
 # --- fixed values -------------------------------------------------------------
@@ -90,13 +91,16 @@ def roll_up(
     percentages: list[str] | None = None,
     medians: list[str] | None = None,
     weight: str = "total_population",
+    summaries: dict[str, DataFrame] | None = None,
 ) -> DataFrame:
     """Aggregate the panel up to a larger geography; by default every variable
     the panel has, each by its own rule.
 
     Totals are added. Percentages are means weighted by population over the areas
-    where they are known. A median can't be had from the medians of parts, so it
-    is NULL. Areas the crosswalk lacks are kept under a NULL area.
+    where they are known. A median can't be had from the medians of parts: it comes
+    from the ``summaries`` of its values (``quantiles.summarized`` by ``geoid`` and
+    ``year``) if they are given, and is NULL if not. Areas the crosswalk lacks are kept
+    under a NULL area.
     """
     present = set(panel.columns)
     totals = [c for c in TOTALS if c in present] if totals is None else totals
@@ -107,7 +111,7 @@ def roll_up(
         known = F.when(F.col(c).isNotNull(), F.col(weight))
         return F.try_divide(F.sum(F.col(c) * known), F.sum(known))
 
-    return (
+    rolled = (
         panel.join(crosswalk.select("geoid", level), "geoid", "left")
         .groupBy(level, "year")
         .agg(
@@ -116,6 +120,12 @@ def roll_up(
             *[F.lit(None).cast("double").alias(c) for c in medians],
         )
     )
+    names = rolled.columns
+    for c, summary in (summaries or {}).items():
+        merged = quantiles.rolled_up(summary, crosswalk, ["geoid", "year"], level)
+        value = quantiles.quantile(merged, [level, "year"]).select(F.col(level).alias("_area"), F.col("year").alias("_year"), F.col("value").alias(c))
+        rolled = rolled.drop(c).join(value, F.col(level).eqNullSafe(F.col("_area")) & (F.col("year") == F.col("_year")), "left").drop("_area", "_year")
+    return rolled.select(*names, *[c for c in summaries or {} if c not in names])
 
 
 def hierarchy_totals(df: DataFrame, levels: list[str], totals: list[str]) -> DataFrame:

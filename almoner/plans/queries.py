@@ -384,13 +384,14 @@ def build_unified(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("unified_refresh")
 def unified_refresh(spark: SparkSession, folder: str) -> DataFrame:
-    """The same from three deliveries of releases that arrive out of order."""
-    state = None
-    for part in (1, 2, 0):
-        for raw in fx.vintages(spark, folder).values():
-            delivery = raw.where(F.col("VINTAGE") % 3 == part)
-            update = unified.record_state(unified.named_release(delivery), tie=RECORD)
-            state = update if state is None else unified.merged_states(state, update)
+    """The same from three deliveries of releases that arrive out of order: a state of
+    each, all merged in one aggregate."""
+    states = [
+        unified.record_state(unified.named_release(raw.where(F.col("VINTAGE") % 3 == part)), tie=RECORD)
+        for part in (1, 2, 0)
+        for raw in fx.vintages(spark, folder).values()
+    ]
+    state = unified.merged_states(*states)
     return _unified_columns(unified.current(written(state, "state")))
 
 

@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from almoner.fixed.crosswalk import COLUMN_NAMES
+from almoner.operators.changes import full_report, report_changes, updated
 from almoner.plans.unified import current, merged_states, named_release, record_state
+from almoner.session import written
 
 # a published release: any of the legacy columns as text, and its release
 RAW_SCHEMA = T.StructType(
@@ -34,7 +36,11 @@ def state_path(table: str, version: int) -> str:
     return f"{table}/state={version}"
 
 
-def refresh(spark: SparkSession, landing: str, table: str, checkpoint: str) -> None:
+def report_path(table: str, version: int) -> str:
+    return f"{table}/report={version}"
+
+
+def refresh(spark: SparkSession, landing: str, table: str, checkpoint: str, reported: tuple[str, ...] = ()) -> None:
     """Take in every release published since the last call, then stop.
 
     Each batch merges its releases with the state the batch before it wrote and
@@ -42,14 +48,26 @@ def refresh(spark: SparkSession, landing: str, table: str, checkpoint: str) -> N
     replaces its own output and nothing else. The newest version is the current
     table; states carry ages, so late releases may come in any order. Versions
     before the newest two are not read again and may be deleted.
+
+    Columns that are ``reported`` have their organizations counted by value
+    (``report_path``): from the whole state in the first version, after that from what
+    each batch changes. The columns must be the same in every call.
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         reader, own = batch.sparkSession.read, state_path(table, batch_id)
-        state = record_state(named_release(batch))
+        delivery = state = record_state(named_release(batch))
         if batch_id > 0:
-            state = merged_states(reader.parquet(state_path(table, batch_id - 1)), state)
+            before = reader.parquet(state_path(table, batch_id - 1))
+            if reported:
+                delivery = written(delivery, "delivery")
+                report = updated(reader.parquet(report_path(table, batch_id - 1)), report_changes(before, delivery, list(reported)))
+            state = merged_states(before, delivery)
         state.write.mode("overwrite").parquet(own)
+        if reported:
+            if batch_id == 0:
+                report = full_report(reader.parquet(own), list(reported))
+            report.write.mode("overwrite").parquet(report_path(table, batch_id))
         current(reader.parquet(own)).write.mode("overwrite").parquet(version_path(table, batch_id))
 
     (

@@ -58,6 +58,7 @@ ON_UNIFIED = {
 ON_TABLES = [
     "unified_latest", "org_year_span", "active_inactive", "f990_recent", "unified_upsert", "build_unified", "unified_refresh",
     "append_fips", "append_census", "geo_hierarchy", "census_apportion", "src_unified_csv",
+    "locate_blocks", "census_between", "level_convert", "median_rollup", "apportion_chain",
 ]
 
 

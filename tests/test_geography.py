@@ -159,6 +159,16 @@ def test_bins_cover_every_number(spark):
         assert r.low <= r.v < r.high and (r.high - r.low - 1) * (1 << quantiles.BITS) <= abs(r.v)
 
 
+def test_roll_up_with_summaries(spark):
+    panel = spark.createDataFrame([("a", 2000, 2.0, 5.0), ("b", 2000, 3.0, 7.0), ("c", 2000, 1.0, 9.0), ("d", 2001, 1.0, 1.0)], "geoid string, year int, total_population double, median_value_adj double")
+    crosswalk = spark.createDataFrame([("a", "x"), ("b", "x"), ("d", "y")], "geoid string, region string")
+    values = spark.createDataFrame([("a", 2000, float(v)) for v in (1, 2, 9)] + [("b", 2000, float(v)) for v in (3, 4)] + [("c", 2000, 50.0)], "geoid string, year int, v double")
+    summary = quantiles.summarized(values, ["geoid", "year"], "v")
+    got = {(r.region, r.year): (r.total_population, r.median_value_adj) for r in census.roll_up(panel, crosswalk, "region", summaries={"median_value_adj": summary}).collect()}
+    assert got == {("x", 2000): (5.0, 3.0), (None, 2000): (1.0, 50.0), ("y", 2001): (1.0, None)}
+    assert {r.median_value_adj for r in census.roll_up(panel, crosswalk, "region").collect()} == {None}
+
+
 # --- levels --------------------------------------------------------------------------------
 
 

@@ -139,3 +139,21 @@ def test_outputs_appear_together(spark, tmp_path, monkeypatch):
     assert {r.id for r in commits.published(spark, root, "labelled", rows.schema)["parquet"].collect()} == {11, 12, 13}
     commits.publish(rows, root, "purposes")
     assert commits.newest(spark, root)[1]["outputs"].keys() == {"labelled", "purposes"}
+
+
+def test_refresh_keeps_reports(spark, folder):
+    from almoner.plans import fixtures as fx
+    from almoner.session import scratch_path
+    from almoner.streaming.refresh import publish_release, refresh, report_path, state_path
+
+    old, new = fx.vintages(spark, folder).values()
+    stacked = old.unionByName(new, allowMissingColumns=True)
+    landing, table, checkpoint = (scratch_path(spark, n) for n in ("landing", "table", "progress"))
+    columns = ("BMF_SUBSECTION_CODE", "NTEE_IRS", "no such column")
+    for i, year in enumerate([1999, 2001, 1996]):
+        publish_release(stacked.where(F.col("VINTAGE") == year).drop("VINTAGE"), year, landing)
+        refresh(spark, landing, table, checkpoint, columns)
+        report = spark.read.parquet(report_path(table, i))
+        state = spark.read.parquet(state_path(table, i))
+        assert counts(report) == counts(changes.full_report(state, list(columns)))
+        assert report.where("variable = 'no such column'").first()["n"] == state.count()
