@@ -1,14 +1,16 @@
-"""Exact dedup by a tree of aggregates of digests.
+"""Exact dedup by tree-merging sorted runs of digests.
 
-Every input partition is a run: its texts' digests with the winning row and the
-number of rows. In each round ``FAN_IN`` neighbouring runs are aggregated by (run,
-digest) into one, so that after ``log(runs)`` rounds one run is left. The rounds are
-plain aggregates: they neither need nor use the order of rows within a run.
-A digest counts at most once per run, also when a third of all rows are copies
-of one text; only digests travel, never texts.
+Every input partition is a run: its texts' digests in order, each once, with the winning
+row and the number of rows. In binomial rounds neighbouring runs are exchanged and merged
+by sort-merge joins: two sorted streams go side by side, a digest that both have becomes
+one entry with the better winner. ``FAN_IN`` runs meet in a tree of such merges between
+two stored tables, so after ``log(runs)`` rounds one run is left, and a lost executor
+costs one round. A digest is in a run once at most, also when a third of all rows are
+copies of one text, so no merge has a hot key; only digests travel, never texts.
 
-A match is verified by a second independent hash and the length in bytes, which
-are part of the merge key: texts that share a digest by accident stay apart.
+A match is verified at every level by a second independent hash and the length in
+bytes, which are part of what is compared: texts that share a digest by accident stay
+apart.
 
 Missing texts count as empty ones; empty texts are equal to each other. Of equal
 texts the row with the largest ``doc_id`` stays (a missing id loses against any
@@ -45,22 +47,36 @@ def digests(docs: DataFrame, row: str | None = None) -> DataFrame:
     )
 
 
-def merge_round(runs: DataFrame, fan_in: int = FAN_IN) -> DataFrame:
-    """Merge each ``fan_in`` neighbouring runs into one, by an aggregate."""
-    return (
-        runs.groupBy(F.floor(F.col("run") / fan_in).cast("int").alias("run"), *KEY)
-        .agg(F.max("winner").alias("winner"), F.sum("group_size").alias("group_size"))
-        .sortWithinPartitions("run", *KEY)
+def merged(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Two families of runs, merged run by run: both are read in order of their digests."""
+    ours = left.withColumnsRenamed({"winner": "winner0", "group_size": "size0"})
+    theirs = right.withColumnsRenamed({"winner": "winner1", "group_size": "size1"})
+    none = F.lit(0).cast("long")
+    return ours.hint("merge").join(theirs, ["run", *KEY], "full").select(
+        "run",
+        *KEY,
+        F.greatest("winner0", "winner1").alias("winner"),
+        (F.coalesce("size0", none) + F.coalesce("size1", none)).alias("group_size"),
     )
 
 
+def merge_round(runs: DataFrame, fan_in: int = FAN_IN) -> DataFrame:
+    """Each ``fan_in`` neighbouring runs as one: a tree of merges, its result stored in order."""
+    run = F.col("run")
+    members = [runs.where(run % fan_in == k).withColumn("run", F.floor(run / fan_in).cast("int")) for k in range(fan_in)]
+    while len(members) > 1:
+        members = [merged(*members[i : i + 2]) if i + 1 < len(members) else members[i] for i in range(0, len(members), 2)]
+    return written(members[0].sortWithinPartitions("run", *KEY), "runs")
+
+
 def classes(rows: DataFrame, fan_in: int = FAN_IN) -> DataFrame:
     """One row per distinct text: its key, the row that stays, the group's size."""
     last = rows.agg(F.max("run")).first()[0] or 0
-    runs = rows.groupBy("run", *KEY).agg(
+    own = rows.groupBy("run", *KEY).agg(
         F.max(F.struct("doc_id", "row")).alias("winner"),
         F.count(F.lit(1)).alias("group_size"),
     )
+    runs = written(own.sortWithinPartitions("run", *KEY), "runs")
     while last > 0:
         runs, last = merge_round(runs, fan_in), last // fan_in
     return runs.select(*KEY, "winner", "group_size")
