@@ -53,6 +53,16 @@ NOISE_WORDS = frozenset(
     "share sharing sidebar signup skip social sponsor sponsored subscribe subscription toolbar widget".split()
 )
 HEADER_WORDS = frozenset({"header"})
+COMMENT_WORDS = frozenset("comment comments disqus".split())
+#: Words that say where a part stands or what shape it has, not what it is.
+NEUTRAL_WORDS = frozenset(
+    "area bar block bottom box container content global group inner item items left link links list main outer page panel "
+    "post posts primary right row secondary section site top wrap wrapper".split()
+)
+#: Inside an article these tags may hold content.
+IN_ARTICLE_TAGS = frozenset({"button", "dialog"})
+#: Inside an article only these declare something else.
+IN_ARTICLE_WORDS = COMMENT_WORDS | frozenset("ad ads advert advertisement adverts newsletter promo promoted related share sharing sponsor sponsored".split())
 CONTENT = frozenset({"article", "main"})
 WORDS = re.compile(r"[a-z]+")
 DIGITS = re.compile(r"\d+")
@@ -76,19 +86,35 @@ def holds_content(element: Element) -> bool:
     return any(e.tag in CONTENT or holds_content(e) for e in element.elements())
 
 
+def names(element: Element) -> list[list[str]]:
+    """The words of each of an element's classes, and of its id."""
+    a = element.attributes
+    return [WORDS.findall(c) for c in (*a.get("class", "").lower().split(), a.get("id", "").lower())]
+
+
+def named(element: Element, words: frozenset) -> bool:
+    """Whether a class or the id as a whole says one of ``words``: beside these it may
+    have words of place and shape alone, so that ``main-nav`` does and ``has-sidebar``
+    doesn't."""
+    return any(set(found) & words and set(found) <= words | NEUTRAL_WORDS for found in names(element))
+
+
 def declared_noise(element: Element, in_article: bool) -> bool:
     a = element.attributes
-    if element.tag in NOISE_TAGS or "hidden" in a or a.get("aria-hidden") == "true":
+    if "hidden" in a or a.get("aria-hidden") == "true" or "display:none" in a.get("style", "").replace(" ", "").lower():
         return True
-    if not a and element.tag != "header":
+    if element.tag in NOISE_TAGS:
+        return not (in_article and element.tag in IN_ARTICLE_TAGS)
+    if element.tag in ("html", "body", "main"):
         return False
-    if "display:none" in a.get("style", "").replace(" ", "").lower() or a.get("role", "").lower() in NOISE_ROLES:
+    if named(element, COMMENT_WORDS):  # also with articles in it, one for each comment
         return True
-    if element.tag in ("html", "body", "main"):
+    if element.tag == "article":
         return False
-    words = {w for c in (*a.get("class", "").lower().split(), a.get("id", "").lower()) for w in WORDS.findall(c)}
-    noisy = bool(words & NOISE_WORDS) or (not in_article and (element.tag == "header" or bool(words & HEADER_WORDS)))
-    return noisy and (element.tag == "article" or not holds_content(element))
+    if in_article:
+        return named(element, IN_ARTICLE_WORDS)
+    told = a.get("role", "").lower() in NOISE_ROLES or element.tag == "header" or named(element, NOISE_WORDS | HEADER_WORDS)
+    return told and not holds_content(element)
 
 
 def cleaned(element: Element, in_article: bool = False) -> Element:

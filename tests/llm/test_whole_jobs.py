@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections import Counter
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from almoner.llm import license_rules, license_scan, ngram_join, toxicity
+from almoner.llm import exact_dedup, license_rules, license_scan, ngram_join, style_tree, toxicity
 from tests.llm import brute
 
 # --- 2: toxicity
@@ -86,3 +88,82 @@ def test_scan_of_licenses_by_their_own_sentences(spark):
         facts, _ = brute.license_facts(text, license_scan.PHRASES, rules, license_rules.CONFIDENCE)
         assert tuple(got[i][1:-1]) == tuple(facts), label
         assert label in got[i].labels.split(",") and got[i].score == 0.95, label
+
+
+# --- 4: style tree
+
+ARTICLES = {
+    '<article class="post has-sidebar"><p>a</p></article>': "a",
+    '<article class="post related-posts-on"><p>a</p></article><aside>x</aside>': "a",
+    '<article><p class="social-science">a</p><section id="search">b</section><div id="ad-hoc-section">c</div></article>': "a\nb\nc",
+    "<article><p>a</p><dialog>b</dialog><p><button>c</button></p><form>d</form></article>": "a\nb\nc",
+    '<div class="main-nav">n</div><div class="with-banner"><p>a</p></div><div class="cookie-notice">c</div>': "a",
+    '<article><p>a</p><div class="comment-list"><article><p>r</p></article></div><div class="share">s</div></article>': "a",
+    '<article><p>a</p></article><div id="comments"><article class="x"><p>r</p></article></div>': "a",
+    '<article><header role="banner"><h1>t</h1></header><p>a</p></article>': "t\na",
+}
+
+
+def test_articles_are_not_lost_by_their_classes(spark):
+    pages = [(i, None, f"<body>{html}</body>") for i, html in enumerate(ARTICLES)]
+    got = {r.page_id: r.text for r in style_tree.extracted(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert [got[i] for i in range(len(pages))] == list(ARTICLES.values())
+
+
+def test_the_tree_changes_most_pages_without_telling_names(spark):
+    """Boilerplate inside the article whose classes say nothing: only the tree finds it."""
+    page = "<body><article><div class=a><b>Acme weekly</b></div><h1>T{0} of {1}</h1><p>story {0} told {1} times</p><div class=b><p>Call us now</p></div></article></body>"
+    pages = [(i, f"http://h{i % 3}.example/{i}", page.format(i, i * i)) for i in range(60)]
+    frame = spark.createDataFrame(pages, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in style_tree.extracted(frame).collect()}
+    without = {i: style_tree.extract(html, {}) for i, _, html in pages}
+    assert all(got[i] == f"T{i} of {i * i}\nstory {i} told {i * i} times" for i in got)
+    assert sum(got[i] != without[i] for i in got) == 60
+
+
+def test_importance_by_definition(spark):
+    rng = np.random.default_rng(2)
+    texts = ["one", "two", "three", "four"]
+    pages = [(f"<body><div class=t>{texts[rng.integers(0, 4)]}</div><p>same</p><p>{i}</p>{'<ul><li>x</ul>' * int(rng.integers(0, 2))}</body>") for i in range(40)]
+    frame = spark.createDataFrame([(f"http://h/{i}", p) for i, p in enumerate(pages)], "url string, html string")
+    found = {n.path: (n.texts, n.children) for r in style_tree.importance(frame).collect() for n in r.nodes}
+    seen = {}
+    for p in pages:
+        once = set()
+        for path, children, text in style_tree.nodes(style_tree.main_content(style_tree.parse(p))):
+            node = seen.setdefault(style_tree.signed(path), {"m": 0, "t": Counter(), "s": Counter()})
+            node["m"] += path not in once
+            once.add(path)
+            node["t"][text] += bool(text)
+            node["s"][children] += bool(children)
+    for path, node in seen.items():
+        if node["m"] >= style_tree.PAGES:
+            for value, counts in zip(found[path], (node["t"], node["s"])):
+                shares = np.array([n for n in counts.values() if n], float)
+                if not len(shares):
+                    assert value is None
+                else:
+                    shares /= shares.sum()
+                    assert value == pytest.approx(min(1, -(shares * np.log(shares)).sum() / np.log(node["m"])), abs=1e-9)
+        else:
+            assert path not in found
+
+
+# --- 9: exact dedup
+
+
+def test_rounds_merge_runs_in_order(spark):
+    docs = spark.createDataFrame([(i, f"text {i % 37}") for i in range(300)], "doc_id long, text string").repartition(9)
+    rows = exact_dedup.digests(docs)
+    own = rows.groupBy("run", *exact_dedup.KEY).agg(F.max(F.struct("doc_id", "row")).alias("winner"), F.count(F.lit(1)).alias("group_size"))
+    both = exact_dedup.merged(own.where("run % 2 = 0").withColumn("run", F.lit(0)), own.where("run % 2 = 1").withColumn("run", F.lit(0)))
+    plan = both._jdf.queryExecution().sparkPlan().toString()
+    assert "SortMergeJoin" in plan and "FullOuter" in plan and "Python" not in plan
+    stored = exact_dedup.merge_round(own, 2)
+    for part in stored.withColumn("p", F.input_file_name()).groupBy("p").agg(F.collect_list(F.struct("run", *exact_dedup.KEY)).alias("found")).collect():
+        keys = [(r.run, bytes(r.digest), r.second, r.n_bytes) for r in part.found]
+        assert keys == sorted(keys)
+    assert stored.agg(F.sum("group_size")).first()[0] == 300
+    merged = exact_dedup.classes(rows, 2).collect()
+    assert len(merged) == 37 and sum(r.group_size for r in merged) == 300
+    assert {r.winner.doc_id for r in merged} == set(range(263, 300))
