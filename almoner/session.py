@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import contextlib
 import functools
+import gc
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -56,10 +59,37 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+_RECORDINGS: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def recording() -> Iterator[list[str]]:
+    """The paths of the tables that ``written`` makes inside."""
+    paths: list[str] = []
+    _RECORDINGS.append(paths)
+    try:
+        yield paths
+    finally:
+        _RECORDINGS.remove(paths)
+
+
+def drop_tables(spark: SparkSession, paths: list[str]) -> None:
+    """Remove written tables nobody reads any more, and let Spark remove the shuffles of
+    plans nobody holds any more."""
+    jvm = spark._jvm
+    for path in paths:
+        where = jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    gc.collect()
+    jvm.System.gc()
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """The rows of ``df`` from a table in the shared folder: computed once, and
     still there when an executor is lost."""
     path = scratch_path(df.sparkSession, name)
+    for paths in _RECORDINGS:
+        paths.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
 
