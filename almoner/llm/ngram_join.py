@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 
 from almoner.llm.common import fresh, ship, text_of
 from almoner.llm.components import components
-from almoner.llm.shingles import shingle_hashes
+from almoner.llm.shingles import forgetting, shingle_hashes
 from almoner.session import written
 
 K = 5
@@ -62,6 +62,7 @@ def sampled_tokens(docs: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray]:
     At most ``MOST_COMMON`` of them: 3 MB.
     """
 
+    @forgetting
     def run(batches):
         for batch in batches:
             for text in batch.column(0).to_pylist():
@@ -101,6 +102,7 @@ def sets(docs: DataFrame, row: str | None, k: int) -> DataFrame:
     ship(docs.sparkSession)
     common, counts = sampled_tokens(docs, k)
 
+    @forgetting
     def run(batches):
         for batch in batches:
             for part in range(0, batch.num_rows, 1000):
@@ -335,6 +337,7 @@ def promising(members: DataFrame, found: DataFrame) -> DataFrame:
 def links(members: DataFrame, k: int) -> DataFrame:
     """Within every cell, each connected set's first one: ``(src, dst)`` with ``src > dst``."""
 
+    @forgetting
     def run(batches):
         src, dst = [], []
         for _, rows in runs(batches, 3):
@@ -367,6 +370,7 @@ def pairs(members: DataFrame, k: int) -> DataFrame:
     """
     names = ["a", "b", "copies_a", "copies_b", "n_a", "n_b", "n_shared"]
 
+    @forgetting
     def run(batches):
         out = []
 
