@@ -238,25 +238,23 @@ def looked_up(texts: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for i in range(batch.num_rows):
-                words = Words([batch.column(2)[i].as_py()])
-                at, n, path = (batch.column(3)[i].values.field(k).to_numpy(zero_copy_only=False) for k in range(3))
-                path = path.astype(bool)
-                single, count = at[~path].astype(np.int64), n[~path].astype(np.int64)
-                singles = np.repeat(single - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(count.sum()) if len(count) else single
-                singles = np.unique(singles)
-                first = np.concatenate([at[path].astype(np.int64), singles])
-                size = np.concatenate([n[path].astype(np.int64), np.ones(len(singles), np.int64)])
-                paths = np.arange(len(first)) < path.sum()
+            for rows, texts in slices(batch, 2):
+                words, lists = Words(texts), rows.column(3)
+                owner = np.repeat(np.arange(len(texts)), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+                at, n, path = (lists.flatten().field(k).to_numpy(zero_copy_only=False) for k in range(3))
+                at, n, path = at + words.starts[owner], n.astype(np.int64), path.astype(bool)
+                pieces, sizes = at[~path], n[~path]
+                # the windows of all pieces, each once
+                windows = np.unique(np.repeat(pieces - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum()))
+                first = np.concatenate([at[path], windows])
+                size = np.concatenate([n[path], np.ones(len(windows), np.int64)])
                 digest = _digests(words, first, size + window - 1)
                 halves = [np.ascontiguousarray(digest[:, k : k + 8]).view(np.int64).ravel() for k in (0, 8)]
-                same = pa.array(np.zeros(len(first), np.int64))
-                ids = batch.column(0).slice(i, 1).take(same)
-                ties = batch.column(1).slice(i, 1).take(same)
-                yield pa.RecordBatch.from_arrays(
-                    [ids, ties, pa.array(first.astype(np.int32)), pa.array(size.astype(np.int32)), pa.array(paths), *map(pa.array, halves)],
-                    names=[*PLACE, "at", "windows", "path", "digest0", "digest1"],
-                )
+                doc = np.searchsorted(words.starts, first, "right") - 1
+                places = pa.array((first - words.starts[doc]).astype(np.int32))
+                ids, ties = (rows.column(k).take(pa.array(doc)) for k in (0, 1))
+                columns = [ids, ties, places, pa.array(size.astype(np.int32)), pa.array(np.arange(len(first)) < path.sum()), *map(pa.array, halves)]
+                yield pa.RecordBatch.from_arrays(columns, names=[*PLACE, "at", "windows", "path", "digest0", "digest1"])
 
     lists = wanted.groupBy(*PLACE).agg(F.collect_list(F.struct("at", "n", "path")).alias("wanted"))
     rows = texts.join(lists, same(texts, lists, *PLACE)).select(texts["doc_id"], texts["tie"], "text", "wanted")
