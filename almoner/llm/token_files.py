@@ -13,101 +13,96 @@ Documents are sorted by ``doc_id`` over all shards (missing ids first, ties in
 any order). A task writes under a name of its own and reports it in the manifest,
 a table Spark commits; files of tasks that were lost are in no manifest.
 
-Missing texts count as empty ones; an empty text is the end id alone. Repeated
+Special tokens that stand in a text are found there, as the library does without being
+told otherwise. Missing texts count as empty ones; an empty text is the end id alone. Repeated
 rows are written repeatedly, other columns ignored, an empty table gives an empty
 manifest.
 """
 
 from __future__ import annotations
 
-import functools
 import os
 import uuid
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 import pyarrow.ipc as ipc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from almoner.llm.chunks import Recent, cut, gathered, held, slices
 from almoner.llm.common import ship, text_of
 from almoner.session import scratch_path
 
 LENGTH, BATCH = 1024, 256
-CHUNKS = 200_000
+CHUNKS = 250_000
 DOCUMENTS = pa.schema([("doc_id", pa.int64()), ("first", pa.int64()), ("n_tokens", pa.int64())])
 MANIFEST = "shard int, path string, n_docs long, n_tokens long, n_sequences long"
 
 
 class Encoder:
-    """The tokenizer behind a table of recent chunks.
+    """The tokenizer behind a table of recent chunks (see ``chunks``).
 
-    The vocabulary's splitting pattern always ends a piece between a character
-    that isn't white space and a single blank before another such character, so
-    a text's ids are those of its chunks cut there. It ends one after a line
-    break, too, so new chunks go through the tokenizer as the lines of one text.
+    The vocabulary's pattern ends a piece before and after a single line break, too, so
+    new chunks go through the tokenizer as the lines of one text.
     """
 
     def __init__(self, path: str, as_bytes: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer, processors
+        from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are text
-        self.tokenizer.post_processor = processors.ByteLevel(trim_offsets=False)
+        self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.dtype = np.dtype(as_bytes)
-        self.chunks: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-
-    def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
-
-    def learn(self, chunks: list[str]) -> None:
-        for at in range(0, len(chunks), 5000):
-            part = chunks[at : at + 5000]
-            encoding = self.tokenizer.encode("\n".join(part), add_special_tokens=False)
-            ids = np.array(encoding.ids, self.dtype).tobytes()
-            starts = np.fromiter((start for start, _ in encoding.offsets), np.int64)
-            ends = np.cumsum([len(c) + 1 for c in part])
-            first = np.searchsorted(starts, ends - [len(c) + 1 for c in part]) * self.dtype.itemsize
-            stop = np.searchsorted(starts, ends - 1) * self.dtype.itemsize
-            for chunk, i, j in zip(part, first.tolist(), stop.tolist()):
-                self.chunks[chunk] = ids[i:j]
-
-    def cut(self, text: str, missing: dict[str, None]) -> list[str] | None:
-        """The chunks of a text, new ones noted; None if blanks don't cut it."""
-        first, *rest = text.split(" ")
-        if not first:
-            return None
-        chunks = [first, *[" " + word for word in rest]]
-        for chunk in chunks:
-            if chunk not in self.chunks:
-                if (ids := self.older.get(chunk)) is not None:
-                    self.chunks[chunk] = ids
-                elif chunk == " " or chunk[chunk[0] == " "].isspace() or chunk[-1].isspace():
-                    return None
-                else:
-                    missing[chunk] = None
-        return chunks
-
-    def encode(self, texts: list[str]) -> list[bytes]:
+        self.line = self.ids("\n")
+        self.recent = Recent(CHUNKS)
+
+    def ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype)
+
+    def learn(self, chunks: list[bytes]) -> Iterator[bytes]:
+        """Ids of chunks without line breaks that neither begin (a blank aside) nor end
+        with white space."""
+        for at in range(0, len(chunks), 20_000):
+            part = chunks[at : at + 20_000]
+            ids = self.ids(b"\n".join(part).decode("utf-8", "surrogatepass"))
+            breaks = np.flatnonzero(ids == self.line[0])
+            if len(breaks) != len(part) - 1:  # not a pattern of this kind
+                raise ValueError("the tokenizer doesn't keep line breaks apart")
+            data, size = memoryview(ids.tobytes()), self.dtype.itemsize
+            first = np.concatenate([[0], breaks + 1]) * size
+            stop = np.append(breaks, len(ids)) * size
+            for i, j in zip(first.tolist(), stop.tolist()):
+                yield bytes(data[i:j])
+
+    def encode(self, texts: pa.Array) -> list[bytes]:
         """Little-endian ids of each text."""
-        if len(self.chunks) > CHUNKS:
-            self.chunks, self.older = {}, self.chunks
-        missing: dict[str, None] = {}
-        cut = [self.cut(text, missing) for text in texts]
-        self.learn(list(missing))
-        known = self.chunks.__getitem__
-        return [self.whole(text) if chunks is None else b"".join(map(known, chunks)) for text, chunks in zip(texts, cut)]
-
-
-@functools.lru_cache(maxsize=2)
-def encoder(path: str, as_bytes: str) -> Encoder:
-    """One for each Python worker; ``path`` is a file on its machine."""
-    return Encoder(path, as_bytes)
+        # special tokens hold several kinds of signs, but no white space
+        marked = any(pc.any(pc.match_substring(texts, s.decode())).as_py() for s in self.special)
+        distinct, numbers, ends = cut(texts, signs=not marked)
+        found = self.recent.look_up(distinct)
+        new, lines = [], []
+        for i, known in enumerate(found):
+            if known is None:
+                chunk = distinct[i]
+                bare = chunk[1:] if chunk[0] == 32 else chunk
+                if bare.isalpha() or (bare and b"\n" not in bare and (text := bare.decode("utf-8", "surrogatepass")).strip() == text):
+                    new.append(i)
+                    lines.append(chunk)
+                else:
+                    found[i] = self.ids(chunk.decode("utf-8", "surrogatepass")).tobytes()
+                    self.recent.put(chunk, found[i])
+        for i, known in zip(new, self.learn(lines)):
+            found[i] = known
+            self.recent.put(distinct[i], known)
+        ids, offsets = gathered(found, self.dtype, numbers)
+        data, places = memoryview(ids.tobytes()), offsets[np.concatenate([[0], ends])] * self.dtype.itemsize
+        return [bytes(data[i:j]) for i, j in zip(places[:-1].tolist(), places[1:].tolist())]
 
 
 def store(folder: str) -> tuple[pafs.FileSystem, str]:
@@ -211,13 +206,13 @@ def write_ids(docs: DataFrame, tokenizer: str, end: int, folder: str, length: in
     dtype = "<u2" if vocabulary <= 1 << 16 else "<u4"
 
     def run(batches):
-        writer, coder = None, encoder(tokenizer, dtype)
+        writer, coder = None, held(("token files", tokenizer, dtype), lambda: Encoder(tokenizer, dtype))
         shard = TaskContext.get().partitionId()
         for batch in batches:
-            for part in range(0, batch.num_rows, 250):
-                rows = batch.slice(part, 250)
+            for part in slices(batch.column(1)):
+                rows = batch.slice(part.start, part.stop - part.start)
                 writer = writer or ShardWriter(folder, shard, dtype, length, end)
-                writer.add(rows.column(0).to_pylist(), coder.encode(rows.column(1).to_pylist()))
+                writer.add(rows.column(0).to_pylist(), coder.encode(rows.column(1)))
         if writer:
             writer.close()
             yield pa.RecordBatch.from_pydict({"shard": pa.array([shard], pa.int32()), "path": [writer.name], "n_docs": [writer.n_docs], "n_tokens": [writer.n_tokens], "n_sequences": [writer.n_sequences]})

@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -75,7 +76,6 @@ def expected_ids(texts: list[str]) -> list[list[int]]:
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(JSON)
-    tokenizer.encode_special_tokens = True
     return [e.ids + [2] for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
 
 
@@ -362,9 +362,10 @@ def test_bpe_against_the_library(spark, folder, texts):
 
 def test_token_chunks_against_the_library():
     rng = np.random.default_rng(2)
-    alphabet = list("ab  \n\t 's1é日　\x85\U0001F600'll ..,,")
-    made = ["".join(rng.choice(alphabet, rng.integers(0, 30))) for _ in range(5000)] + [t or "" for t in TEXTS]
-    got = token_files.Encoder(JSON, "<u2").encode(made)
+    alphabet = [*"ab  \n\t 's1é日　\x85\U0001F600'll ..,,", "<|endoftext|>"]
+    made = ["".join(rng.choice(alphabet, rng.integers(0, 30))) for _ in range(5000)] + [t or "" for t in TEXTS] + ["a <|endoftext|> b"]
+    assert expected_ids(made)[-1] == [64, 220, 50256, 275, 2]
+    got = token_files.Encoder(JSON, "<u2").encode(pa.array(made))
     assert [np.frombuffer(g, "<u2").tolist() + [2] for g in got] == expected_ids(made)
 
 
