@@ -70,7 +70,8 @@ def recording() -> Iterator[list[str]]:
     try:
         yield paths
     finally:
-        _RECORDINGS.remove(paths)
+        # by identity: an inner recording may hold what an outer one does
+        _RECORDINGS[:] = [r for r in _RECORDINGS if r is not paths]
 
 
 def drop_tables(spark: SparkSession, paths: list[str]) -> None:

@@ -25,6 +25,42 @@ def test_sample_goes_on_after_long_texts(spark, monkeypatch):
     assert toxicity.fitting([(1, 90), (2, 101), (3, 5), (4, 5), (5, 95)], 100, 40) == [3, 4, 1]
 
 
+def test_learns_from_every_labelled_row(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "SAMPLE_ROWS", 6)
+    monkeypatch.setattr(toxicity, "SHARD_ROWS", 150, raising=False)
+    texts = [f"plain words {i} and {i % 7} more, {'awful' if i % 3 == 0 else 'kind'} ones" for i in range(900)]
+    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)] + [(1, texts[1], "en"), (900, None, None)], "doc_id long, text string, lang string")
+    labels = docs.selectExpr("doc_id", "cast(doc_id % 3 = 0 as int) AS toxic")
+    rows = Counter(r.doc_id for r in docs.filter(~toxicity.held_out(docs["doc_id"])).collect())
+    wanted = Counter()
+    for d, n in rows.items():
+        wanted[len(texts[d].split()) if d < 900 else 0, int(d % 3 == 0)] += n * n
+    packed = toxicity.shards(toxicity.training_rows(docs, labels), 4).toArrow().to_batches()
+    opened = list(toxicity.opened(packed))
+    assert Counter((len(t), int(v)) for _, ts, y, *_ in opened for t, v in zip(ts, y)) == wanted
+    assert len({shard for shard, *_ in opened}) == len(opened) == 4
+    found = toxicity.toxic_scores(docs, labels).filter("doc_id < 900").collect()
+    assert all((r.score >= 0.5) == (r.doc_id % 3 == 0) for r in found)
+
+
+def test_long_texts_are_learnt_in_blocks(monkeypatch):
+    rng = np.random.default_rng(1)
+    texts = [rng.integers(0, 50, n).astype(np.int32) for n in (1, 2, 3, 40, 7, 200, 1, 64)] * 12
+    y, buckets = np.array([0, 1, 0, 1, 0, 0, 1, 1] * 12, np.float32), rng.integers(0, toxicity.BUCKETS, (50, toxicity.PARTS)).astype(np.int32)
+
+    def rows(block):
+        monkeypatch.setattr(toxicity, "BLOCK", block)
+        own = np.random.default_rng(2)
+        model = toxicity.Model.fresh(own)
+        model.learn(texts, y, buckets, own, 2)
+        again = toxicity.Model.fresh(np.random.default_rng(3))
+        again.set_rows(model.rows())
+        assert np.array_equal(again.rows(), model.rows())
+        return model.rows()
+
+    assert np.array_equal(rows(1 << 20), rows(13))
+
+
 # --- 5: n-gram join
 
 
