@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 from almoner.operators.apportion import weights_of_blocks
 from almoner.session import written
 
+#: Rows of blocks and levels that one task sorts before they are summarized.
+TASK_ROWS = 200_000
+
 
 def _areas(crosswalk: DataFrame, levels: list[str]) -> DataFrame:
     """A row per block and level it has an area of, beside all its areas as ``in_<level>``."""
@@ -27,10 +30,15 @@ def nesting(crosswalk: DataFrame, levels: list[str]) -> DataFrame:
     none at all (``n_outside``), and whether it nests: none of the former, and not all
     of the latter.
 
-    One pass: areas are summarized before the shuffle by the least and the greatest
-    area of every other level that their blocks lie in.
+    Areas are summarized before the shuffle by the least and the greatest area of every
+    other level that their blocks lie in. Blocks are counted and dealt out first: a
+    few small files become a row per block and level, which is much to sort in one task.
     """
-    per_area = _areas(crosswalk, levels).groupBy("own.level", "own.area").agg(
+    blocks = written(crosswalk.select(*[F.col(c).cast("string").alias(c) for c in levels]), "crosswalk")
+    tasks = max(1, -(-blocks.count() * len(levels) // TASK_ROWS))
+    place = "_" + "_".join(levels)
+    blocks = blocks.withColumn(place, F.monotonically_increasing_id()).repartition(tasks, place)
+    per_area = _areas(blocks, levels).groupBy("own.level", "own.area").agg(
         *[F.min(f"in_{c}").alias(f"least_{c}") for c in levels],
         *[F.max(f"in_{c}").alias(f"most_{c}") for c in levels],
         *[F.count_if(F.col(f"in_{c}").isNull()).alias(f"without_{c}") for c in levels],
