@@ -5,18 +5,21 @@ rings of corners: a point is in an area if a ray from it crosses the area's edge
 number of times (holes are just more rings), or if it lies on an edge. Of several such
 areas the one with the smallest id is taken, which settles borders as well.
 
-The join's keys are cells. Cells that hold points are split into finer ones as long as
-several areas touch them and there would be much to compare; so a dense city gets small
-cells and an empty desert a large one, and cells without points are given up at once. An
-area is listed in every cell its bounding box touches, with just the edges that matter
-there. Equal coordinates are looked up once, however many records have them.
+The join's keys are cells, from coarse to fine. An area is listed in every cell its
+bounding box touches. In a cell with few enough points, these are compared with its first
+areas in the order of ids, with just the edges that matter there: a point in one of them
+is done, as the others have larger ids. What is left of points and areas goes on to finer
+cells. So areas that lie over each other are listed in fine cells only where points are in
+none of the first ones; a dense city gets small cells and an empty desert a large one, and
+cells without points are given up at once. Equal coordinates are looked up once, however
+many records have them.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from almoner.operators.joins import lookup_join
@@ -25,8 +28,10 @@ from almoner.session import written
 PER_DEGREE = 1_000_000
 #: Side of the largest and the smallest cells, as powers of two, and the step between.
 COARSEST, FINEST, STEP = 29, 11, 3
-#: A cell with more areas, or more areas times points, is split.
-MOST_AREAS, MOST_TESTS = 32, 1 << 20
+#: How many of a cell's areas its points are compared with first, or more if that is less
+#: than this many tests; a cell with more tests is split before. And at most this many.
+MOST_AREAS, MOST_TESTS, MOST_FIRST = 32, 1 << 20, 256
+_BOX = ("area", "shape", "x0", "x1", "y0", "y1")
 _EDGE = ("x1", "y1", "x2", "y2")
 
 
@@ -82,32 +87,27 @@ def _cells(boxes: DataFrame, shift: int, within: bool = False) -> DataFrame:
             low, high = F.greatest(low, first), F.least(high, first + (1 << STEP) - 1)
         return F.explode(F.sequence(low, high))
 
-    narrow = boxes.select("area", "x0", "x1", "y0", "y1", span("x").alias("nx"), *(["cy"] if within else []))
-    return narrow.select("area", "x0", "x1", "y0", "y1", F.col("nx").alias("cx"), span("y").alias("ncy")).withColumnRenamed("ncy", "cy")
+    narrow = boxes.select(*_BOX, span("x").alias("nx"), *(["cy"] if within else []))
+    return narrow.select(*_BOX, F.col("nx").alias("cx"), span("y").alias("ncy")).withColumnRenamed("ncy", "cy")
 
 
-def _leaves(boxes: DataFrame, points: DataFrame, most_areas: int, most_tests: int) -> list[DataFrame]:
-    """The cells of the quadtree that hold points, with the areas that touch them."""
-    fine = written(
-        points.groupBy(F.shiftright("x", FINEST).alias("fx"), F.shiftright("y", FINEST).alias("fy")).agg(F.count(F.lit(1)).alias("n")), "point-counts"
-    )
-    found, active = [], _cells(boxes, COARSEST)
-    for shift in range(COARSEST, FINEST - 1, -STEP):
-        points_in = fine.groupBy(F.shiftright("fx", shift - FINEST).alias("cx"), F.shiftright("fy", shift - FINEST).alias("cy")).agg(F.sum("n").alias("n_points"))
-        covers = F.lit(True)
-        for axis in ("x", "y"):
-            low = F.shiftleft(F.col(f"c{axis}"), shift)
-            covers = covers & (F.col(f"{axis}0") <= low) & (F.col(f"{axis}1") >= low + (1 << shift) - 1)
-        cells = active.groupBy("cx", "cy").agg(F.count(F.lit(1)).alias("n_areas"), F.count_if(~covers).alias("n_partial")).join(points_in, ["cx", "cy"])
-        split = (F.col("n_areas") > 1) & (F.col("n_partial") > 0) & ((F.col("n_areas") > most_areas) | (F.col("n_areas") * F.col("n_points") > most_tests))
-        cells = cells.select("cx", "cy", (split if shift - STEP >= FINEST else F.lit(False)).alias("split"))
-        listed = written(active.join(cells, ["cx", "cy"]), "cells")
-        found.append(listed.where(~F.col("split")).select(F.lit(shift).alias("shift"), "cx", "cy", "area"))
-        active = listed.where("split")
-        if shift - STEP < FINEST or active.isEmpty():
-            break
-        active = _cells(active, shift - STEP, within=True)
-    return found
+def _in_cells(points: DataFrame, shift: int) -> DataFrame:
+    return points.select("x", "y", F.shiftright("x", shift).alias("cx"), F.shiftright("y", shift).alias("cy"))
+
+
+def _hits(points: DataFrame, listing: DataFrame, shapes: DataFrame, shift: int) -> DataFrame:
+    """Points (with their cells) that lie in one of their cell's listed areas, with the first of these."""
+    low = {axis: F.shiftleft(F.col(f"c{axis}"), shift) for axis in "xy"}
+    top = low["y"] + (1 << shift) - 1
+
+    def matters(e: Column) -> Column:
+        # a ray to the right from inside the cell may meet it
+        return (F.greatest(e["y1"], e["y2"]) >= low["y"]) & (F.least(e["y1"], e["y2"]) <= top) & (F.greatest(e["x1"], e["x2"]) >= low["x"])
+
+    cells = listing.select(*_BOX, "cx", "cy").join(shapes.select("shape", "edges"), "shape").withColumn("edges", F.filter("edges", matters))
+    boxed = F.col("x").between(F.col("x0"), F.col("x1")) & F.col("y").between(F.col("y0"), F.col("y1"))
+    inside = points.join(cells, ["cx", "cy"]).where(boxed & contains(F.col("edges"), F.col("x"), F.col("y")))
+    return inside.groupBy("x", "y").agg(F.min("area").alias("area"))
 
 
 def located(points: DataFrame, areas: DataFrame, most_areas: int = MOST_AREAS, most_tests: int = MOST_TESTS) -> DataFrame:
@@ -118,23 +118,44 @@ def located(points: DataFrame, areas: DataFrame, most_areas: int = MOST_AREAS, m
     """
     points = written(points.where(F.col("x").isNotNull() & F.col("y").isNotNull()).select("x", "y").distinct(), "points")
     edges = _edges(F.col("rings"))
-    shapes = written(areas.where(F.col("area").isNotNull()).select("area", edges.alias("edges")).where(F.size("edges") > 0), "shapes")
-    boxes = shapes.select("area", *(_bound(least, axis).alias(f"{axis}{0 if least else 1}") for axis in "xy" for least in (True, False)))
-    leaves = _leaves(boxes, points, most_areas, most_tests)
-    listing = reduce(DataFrame.unionByName, leaves)
-    low = {axis: F.expr(f"shiftleft(c{axis}, shift)") for axis in "xy"}
-    top = low["y"] + F.expr("shiftleft(1L, shift)") - 1
-
-    def matters(e: Column) -> Column:
-        # a ray to the right from inside the cell may meet it
-        return (F.greatest(e["y1"], e["y2"]) >= low["y"]) & (F.least(e["y1"], e["y2"]) <= top) & (F.greatest(e["x1"], e["x2"]) >= low["x"])
-
-    cells = listing.join(shapes, "area").select("shift", "cx", "cy", "area", F.filter("edges", matters).alias("edges"))
-    # a point is in one leaf; which level that has is told by the join
-    levels = F.explode(F.array(*(F.lit(s) for s in range(COARSEST, COARSEST - STEP * len(leaves), -STEP))))
-    keyed = points.select("x", "y", levels.alias("shift")).select("x", "y", "shift", F.expr("shiftright(x, shift)").alias("cx"), F.expr("shiftright(y, shift)").alias("cy"))
-    inside = keyed.join(cells, ["shift", "cx", "cy"]).where(contains(F.col("edges"), F.col("x"), F.col("y")))
-    return inside.groupBy("x", "y").agg(F.min("area").alias("area"))
+    shapes = areas.where(F.col("area").isNotNull()).select("area", edges.alias("edges")).where(F.size("edges") > 0)
+    # ids may repeat: shapes have numbers of their own
+    shapes = written(shapes.withColumn("shape", F.monotonically_increasing_id()), "shapes")
+    boxes = shapes.select("area", "shape", *(_bound(least, axis).alias(f"{axis}{0 if least else 1}") for axis in "xy" for least in (True, False)))
+    found, active = [], _cells(boxes, COARSEST)
+    for shift in range(COARSEST, FINEST - 1, -STEP):
+        at = _in_cells(points, shift)
+        finest = shift - STEP < FINEST
+        covers = F.lit(True)
+        for axis in ("x", "y"):
+            low = F.shiftleft(F.col(f"c{axis}"), shift)
+            covers = covers & (F.col(f"{axis}0") <= low) & (F.col(f"{axis}1") >= low + (1 << shift) - 1)
+        cells = active.groupBy("cx", "cy").agg(F.count(F.lit(1)).alias("n_areas"), F.count_if(~covers).alias("n_partial"))
+        cells = cells.join(at.groupBy("cx", "cy").agg(F.count(F.lit(1)).alias("n_points")), ["cx", "cy"])
+        first = F.least("n_areas", F.greatest(F.lit(most_areas), F.floor(F.lit(most_tests) / F.col("n_points"))), F.lit(MOST_FIRST))
+        # finer cells wouldn't list fewer areas
+        last = F.lit(finest) | (F.col("n_partial") == 0)
+        now = last | (F.col("n_areas") == 1) | (first * F.col("n_points") <= most_tests)
+        cells = written(cells.select("cx", "cy", "n_areas", F.when(now, first).otherwise(0).cast("long").alias("n_first"), last.alias("last")), "cell-sizes")
+        listed = written(active.join(cells, ["cx", "cy"]), "cells")
+        order = Window.partitionBy("cx", "cy").orderBy("area", "shape")
+        chosen = listed.where("n_first > 0").withColumn("rank", F.row_number().over(order)).where(f"rank <= {MOST_FIRST}").where("rank <= n_first")
+        chosen = written(chosen, "first-areas")
+        hits = written(_hits(at, chosen, shapes, shift), "hits")
+        found.append(hits)
+        # what is left
+        more = F.col("n_areas") > F.col("n_first")
+        left = at.join(cells.where(more).select("cx", "cy", "last"), ["cx", "cy"]).join(hits, ["x", "y"], "left_anti")
+        left = written(left, "points")
+        done = chosen.where("rank = n_first").select("cx", "cy", F.col("area").alias("area_"), F.col("shape").alias("shape_"))
+        others = listed.where(more).join(done, ["cx", "cy"], "left").where("area_ IS NULL OR area > area_ OR (area = area_ AND shape > shape_)")
+        if not left.where("last").isEmpty():
+            found.append(written(_hits(left.where("last"), others.where("last"), shapes, shift), "hits"))
+        points = left.where("NOT last").select("x", "y")
+        if finest or points.isEmpty():
+            break
+        active = _cells(others.where("NOT last"), shift - STEP, within=True)
+    return reduce(DataFrame.unionByName, found)
 
 
 def locate(

@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from almoner.operators import apportion, asof, census, levels, quantiles, spatial
+from almoner.session import recording
 
 RINGS = "area string, rings array<array<struct<x:double,y:double>>>"
 
@@ -75,6 +76,19 @@ def test_locate_in_empty_tables(spark):
     assert spatial.locate(where.filter("false"), blocks).collect() == []
 
 
+def test_areas_over_each_other_are_not_listed_in_fine_cells(spark):
+    rng = np.random.default_rng(4)
+    shapes = [(f"S{k:03}", [[(0.0, 0.0), (4.0 + float(d), 0.0), (0.0, 4.0 + float(d))]]) for k, d in enumerate(rng.random(200) / 10)]
+    places = [(i, float(x), float(y)) for i, (x, y) in enumerate(rng.random((600, 2)) * 2)]
+    where = spark.createDataFrame(places, "EIN long, LONGITUDE double, LATITUDE double")
+    blocks = spark.createDataFrame([(a, [[dict(x=x, y=y) for x, y in r] for r in rings]) for a, rings in shapes], RINGS)
+    with recording() as tables:
+        got = {r.EIN: r.CENSUS_BLOCK_FIPS for r in spatial.locate(where, blocks).collect()}
+    least = {i: min((a for a, r in shapes if inside(r, math.floor(x * 10**6 + 0.5), math.floor(y * 10**6 + 0.5))), default=None) for i, x, y in places}
+    assert got == least
+    assert sum(spark.read.parquet(t).count() for t in tables if "/cells-" in t) <= 5 * len(shapes)
+
+
 # --- redrawn areas -------------------------------------------------------------------------
 
 
@@ -201,6 +215,18 @@ def test_nesting(spark):
     assert levels.nesting(blocks.filter("false"), LEVELS).collect() == []
 
 
+def test_nesting_is_dealt_out_by_rows(spark, monkeypatch):
+    blocks = spark.createDataFrame(level_rows(), ", ".join(f"{c} string" for c in LEVELS) + ", people long").coalesce(1)
+    whole = sorted(map(tuple, levels.nesting(blocks, LEVELS).collect()))
+    monkeypatch.setattr(levels, "TASK_ROWS", 20, raising=False)
+    with recording() as tables:
+        pairs = levels.nesting(blocks, LEVELS)
+        assert sorted(map(tuple, pairs.collect())) == whole
+    assert [spark.read.parquet(t).count() for t in tables] == [48]
+    # 48 blocks of 5 levels, 20 rows to a task
+    assert ", 12), REPARTITION_BY_NUM" in pairs._jdf.queryExecution().executedPlan().toString()
+
+
 def test_closure(spark):
     edges = [("block", "tract"), ("tract", "county"), ("county", "state"), ("block", "zcta"), ("zcta", "state"), ("county", "state")]
     got = {(r.finer, r.coarser): (r.steps, r.ways) for r in levels.closure(spark.createDataFrame(edges, "finer string, coarser string")).collect()}
