@@ -24,12 +24,9 @@ Other columns are ignored or, in ``mixed_documents``, kept.
 
 from __future__ import annotations
 
-import itertools
-import re
-
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from almoner.llm.common import WORD, fresh, numbered, ship, text_of
@@ -255,12 +252,20 @@ def taken_words(docs: DataFrame, seed: int = 0) -> DataFrame:
     )
 
 
-def piece(text: str, first: int, n: int, size: int) -> str:
-    """Words ``first`` to ``first + n`` of ``text``, which has ``size``."""
-    if n == size:
-        return text
-    starts = [m.start() for m in itertools.islice(re.finditer(WORD, text), first + n + 1)]
-    return text[starts[first] if first else 0 : starts[first + n] if first + n < size else len(text)]
+def piece(text: Column, first: Column, n: Column, size: Column) -> Column:
+    """Words ``first`` to ``first + n`` of ``text``, which has ``size``, up to the next word.
+
+    The pattern counts words possessively, so it takes no memory per word.
+    """
+    gap = WORD.replace("[^", "[")
+
+    def words(count: Column) -> Column:
+        return F.concat(F.lit(f"(?:{gap})?+(?:{WORD}+{gap}+){{"), count.cast("string"), F.lit("}+"))
+
+    before = F.when(first > 0, words(first)).otherwise("")
+    own = F.when(first + n < size, words(n)).otherwise("(?s:.*+)")
+    pattern = F.concat(F.lit("^"), before, F.lit("("), own, F.lit(")"))
+    return F.when(n == size, text).otherwise(F.call_function("regexp_extract", text, pattern, F.lit(1)))
 
 
 def mixed_documents(docs: DataFrame, seed: int = 0) -> DataFrame:
@@ -277,18 +282,10 @@ def mixed_documents(docs: DataFrame, seed: int = 0) -> DataFrame:
     mix = pieces(line, sources(line), seed).join(line.select("row", "size"), "row")
     extra = {c: fresh(docs, c) for c in ("first_word", "n_words", "size", "shard", "position")}
     mix = mix.select(F.col("row").alias(row), *[F.col(c).cast("long").alias(name) for c, name in extra.items()])
-    names, schema = docs.columns, stored.drop(row).schema
-
-    def run(batches):
-        for batch in batches:
-            first, n, size = (batch.column(extra[c]).to_pylist() for c in ("first_word", "n_words", "size"))
-            texts = [piece(*x) for x in zip(batch.column("text").to_pylist(), first, n, size)]
-            columns = {c: batch.column(c) for c in names}
-            columns["text"] = pa.array(texts, columns["text"].type)
-            if "n_chars" in columns:
-                columns["n_chars"] = pa.array(map(len, texts), columns["n_chars"].type)
-            yield pa.RecordBatch.from_arrays(list(columns.values()), names=names)
-
+    joined = stored.join(mix, row)
+    text = piece(text_of(joined), *(F.col(extra[c]) for c in ("first_word", "n_words", "size")))
+    out = joined.withColumn("text", text.cast(stored.schema["text"].dataType))
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.char_length(F.col("text").cast("string")).cast(stored.schema["n_chars"].dataType))
     order = [extra["shard"], extra["position"]]
-    out = stored.join(mix, row).drop(row).repartitionByRange(*order).sortWithinPartitions(*order)
-    return out.mapInArrow(run, schema)
+    return out.repartitionByRange(*order).sortWithinPartitions(*order).select(docs.columns)

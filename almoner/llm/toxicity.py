@@ -460,9 +460,14 @@ def scored(docs: DataFrame, model: Model, score: str = "score", threshold: float
     spark = docs.sparkSession
     ship(spark)
     shared = spark.sparkContext.broadcast(model)  # 8 MB, whatever the data
-    text, language = text_of(docs), docs["lang"].cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
+    language = docs["lang"].cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
     names = {c: fresh(docs, c) for c in ("text_", "lang_")}
-    rows = docs.withColumns({names["text_"]: text, names["lang_"]: language})
+    rows = docs.withColumn(names["lang_"], language)
+    # a text goes to the workers once
+    if isinstance(docs.schema["text"].dataType, T.StringType):
+        names["text_"] = "text"
+    else:
+        rows = rows.withColumn(names["text_"], text_of(docs))
     schema = T.StructType([*docs.schema, T.StructField(score, T.DoubleType()), T.StructField(flagged, T.BooleanType())])
 
     def run(batches):
@@ -470,9 +475,9 @@ def scored(docs: DataFrame, model: Model, score: str = "score", threshold: float
         scorer = Scorer(shared.value)
         known, overall = shared.value.thresholds, shared.value.threshold
         for batch in batches:
-            for part in slices(batch.column(names["text_"])):
+            for part in slices(batch.column(names["text_"]).fill_null("")):
                 cut = batch.slice(part.start, part.stop - part.start)
-                scores = scorer.scores(cut.column(names["text_"]).to_pylist())
+                scores = scorer.scores(cut.column(names["text_"]).fill_null("").to_pylist())
                 limits = np.array([known.get(x or "", overall) for x in cut.column(names["lang_"]).to_pylist()])
                 columns = cut.columns[: len(schema) - 2]
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(scores), pa.array(scores >= limits)], names=schema.names)
