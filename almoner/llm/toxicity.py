@@ -26,9 +26,10 @@ other columns are ignored or, in ``without_toxic``, kept.
 from __future__ import annotations
 
 import copy
-import zlib
+import itertools
 from collections.abc import Iterable
 from dataclasses import dataclass, field
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -54,22 +55,68 @@ BUCKETS, DIM, WIDTHS, FILTERS = 1 << 18, 8, (1, 2, 3), 8
 PARTS = 5  # the word and its beginnings of 3 to 6 letters
 EPOCHS, BATCH, RATE, WORDS = 6, 48, 0.02, 100_000
 START, DROPOUT = 0.1, 0.25
+#: What the names of parts begin with, hashed: the word, and its beginnings by length.
+WHOLE, BEGINNINGS = crc32(b"="), {n: crc32(b"%d" % n) for n in (3, 4, 5, 6)}
+#: Words whose parts are hashed together, and their most letters; longer ones go one by one.
+HASHED, SHORT = 1 << 16, 24
 MARKS = "".join(chr(c) for c in range(33, 128) if not chr(c).isalnum())
 
 
-class Words(dict):
-    """Numbers of words, and per number the buckets of its parts."""
+# a checksum byte by byte, and how that of ``length`` bytes changes when others stand before them
+_STEP = np.array([crc32(bytes([b])) ^ crc32(b"\0") for b in range(256)], np.uint32)
+
+
+def _after(begun: int, length: int) -> int:
+    return crc32(bytes(length), begun) ^ crc32(bytes(length))
+
+
+_AFTER = {n: np.uint32(_after(begun, n)) for n, begun in BEGINNINGS.items()}
+_AFTER_WHOLE = np.array([_after(WHOLE, n) for n in range(SHORT + 1)], np.uint32)
+
+
+def hashed(words: list[str]) -> np.ndarray:
+    """Per word the buckets of its parts."""
+    bare = [w.strip(MARKS).lower() for w in words]
+    raw = [b.encode("utf-8", "surrogatepass") for b in bare]
+    letters, size = (np.fromiter(map(len, x), np.int64, len(words)) for x in (bare, raw))
+    out = np.empty((len(words), PARTS), np.int32)
+    for i in np.flatnonzero((letters < size) | (size > SHORT)):
+        whole = crc32(raw[i], WHOLE)
+        out[i] = [x % BUCKETS for x in (whole, *(crc32(bare[i][:n].encode("utf-8", "surrogatepass"), begun) if letters[i] >= n else whole for n, begun in BEGINNINGS.items()))]
+    # of the others a letter is a byte; by length, so that those with a letter more stand at the end
+    short = np.flatnonzero((letters == size) & (size <= SHORT))
+    short = short[np.argsort(size[short], kind="stable")]
+    size = size[short]
+    signs = np.array([raw[i] for i in short], f"S{SHORT}").view(np.uint8).reshape(-1, SHORT).T.copy()
+    state, begun = np.full(len(short), 0xFFFFFFFF, np.uint32), {}
+    for at in range(int(size.max(initial=0))):
+        rest = slice(int(np.searchsorted(size, at, "right")), None)
+        old = state[rest]
+        state[rest] = _STEP[(old ^ signs[at, rest]) & 255] ^ (old >> 8)
+        if at + 1 in BEGINNINGS:
+            begun[at + 1] = ~state[rest] ^ _AFTER[at + 1]
+    parts = np.repeat((~state ^ _AFTER_WHOLE[size])[:, None], PARTS, 1)
+    for i, n in enumerate(BEGINNINGS, 1):
+        if n in begun:
+            parts[len(parts) - len(begun[n]) :, i] = begun[n]
+    out[short] = parts % BUCKETS
+    return out
 
-    def __init__(self):
-        self.buckets: list[tuple[int, ...]] = []
+
+class Words(dict):
+    """Numbers of words, in the order of their numbers."""
 
     def __missing__(self, word: str) -> int:
-        bare = word.strip(MARKS).lower()
-        parts = [f"={bare}", *(f"{n}{bare[:n]}" if len(bare) >= n else f"={bare}" for n in (3, 4, 5, 6))]
-        self[word] = number = len(self.buckets)
-        self.buckets.append(tuple(zlib.crc32(p.encode("utf-8", "surrogatepass")) % BUCKETS for p in parts))
+        self[word] = number = len(self)
         return number
 
+    def buckets(self, first: int = 0) -> np.ndarray:
+        """Per word from number ``first`` on the buckets of its parts."""
+        words, out = itertools.islice(self, first, None), [np.empty((0, PARTS), np.int32)]
+        while some := list(itertools.islice(words, HASHED)):
+            out.append(hashed(some))
+        return np.concatenate(out)
+
     def numbers(self, text: str) -> np.ndarray:
         words = text.split()
         return np.fromiter(map(self.__getitem__, words), np.int32, len(words))
@@ -130,9 +177,9 @@ class Model:
         for w in WIDTHS:
             n = len(words) - w + 1
             if n > 0:
-                total = tables[at][words[:n]]
+                total = tables[at].take(words[:n], axis=0)
                 for i in range(1, w):
-                    total = total + tables[at + i][words[i : i + n]]
+                    total += tables[at + i].take(words[i : i + n], axis=0)
                 out.append(total.max(0))
             else:
                 out.append(np.full(FILTERS, -np.inf, np.float32))
@@ -329,7 +376,7 @@ def shards(rows: DataFrame, n: int) -> DataFrame:
                 y += cut.column(2).to_pylist()
                 lang += cut.column(3).to_pylist()
         if shard is not None:
-            packed = [np.concatenate(texts), np.array(lengths, np.int64), np.array(y, np.int8), np.array(words.buckets, np.int32)]
+            packed = [np.concatenate(texts), np.array(lengths, np.int64), np.array(y, np.int8), words.buckets()]
             columns = [pa.array([a.tobytes()], pa.binary()) for a in packed]
             yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), *columns, pa.array([lang], pa.list_(pa.string()))], names=names)
         del words, texts
@@ -443,14 +490,14 @@ class Scorer:
         if len(self.words) > WORDS:
             self.reset()
         numbers = [self.words.numbers(t) for t in texts]
-        if len(self.words.buckets) > self.known:
-            if len(self.words.buckets) > len(self.tables[0]):
-                size = 2 * len(self.words.buckets)
+        if len(self.words) > self.known:
+            if len(self.words) > len(self.tables[0]):
+                size = 2 * len(self.words)
                 self.tables = [np.concatenate([t, np.empty((size - len(t), FILTERS), np.float32)]) for t in self.tables]
-            new = self.model.tables(np.array(self.words.buckets[self.known :], np.int32))
+            new = self.model.tables(self.words.buckets(self.known))
             for table, rows in zip(self.tables, new):
                 table[self.known : self.known + len(rows)] = rows
-            self.known = len(self.words.buckets)
+            self.known = len(self.words)
         logits = [float(self.model.pooled(self.tables, n) @ self.model.weight) + self.model.offset for n in numbers]
         return self.model.probability(np.array(logits, np.float64))
 

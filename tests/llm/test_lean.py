@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import random
 import re
+import zlib
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -44,3 +46,19 @@ def test_scored_texts_go_to_python_once(spark):
     assert got[2].text is None and got[2].score == got[3].score != got[1].score
     binary = toxicity.scored(docs.withColumn("text", F.col("text").cast("binary")), toxicity.Model.fresh(np.random.default_rng(1)))
     assert {r.doc_id: r.score for r in binary.collect()} == {d: r.score for d, r in got.items()}
+
+
+def test_words_are_hashed_together():
+    def parts(word):
+        bare = word.strip(toxicity.MARKS).lower()
+        names = [f"={bare}", *(f"{n}{bare[:n]}" if len(bare) >= n else f"={bare}" for n in (3, 4, 5, 6))]
+        return [zlib.crc32(p.encode("utf-8", "surrogatepass")) % toxicity.BUCKETS for p in names]
+
+    rng, signs = random.Random(7), "abcXYZ09.'-\0éßİ漢😀\ud800"
+    found = ["", "(a)", "Words,", "x" * 24, "x" * 25, *("".join(rng.choices(signs[: rng.choice([3, 9, 18])], k=rng.randrange(40))) for _ in range(3_000))]
+    words = toxicity.Words()
+    assert words.numbers(" ".join(["b", "a", "b"])).tolist() == [0, 1, 0]
+    for word in found:
+        words[word]
+    assert words.buckets().tolist() == [parts(w) for w in words] and words.buckets(len(words)).shape == (0, toxicity.PARTS)
+    assert (words.buckets(5) == words.buckets()[5:]).all()
